@@ -1,0 +1,33 @@
+"""Each registered query against its SQL, run by another engine on the same tables."""
+
+import __spark_entry__ as entry_points
+import duckdb
+import pytest
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for table in ("conversations", "documents"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query_matches_sql(spark, sf_dir, duck, name):
+    result = entry_points.queries()[name](spark, sf_dir)
+    expected = duck.sql(entry_points.oracle_sql()[name])
+    columns = sorted(result.columns)
+    assert columns == sorted(expected.columns)
+    rows = [tuple(row) for row in result.select(*columns).collect()]
+    expected_rows = expected.select(*columns).fetchall()
+    assert rows
+    assert sorted(rows, key=repr) == sorted(expected_rows, key=repr)
+
+
+def test_entry_has_rows(spark, sf_dir):
+    assert entry_points.entry(spark).count() > 0

@@ -1,0 +1,81 @@
+"""What the plans look like: shuffles, pushed filters, pruned columns, no Python."""
+
+import re
+
+import pytest
+from helpers import executed_plan
+from pyspark.sql import functions as F
+
+from turnmill.functions import render, truncate_tokens
+from turnmill.operators import assemble_messages, plan_batches, validate_replies
+from turnmill.operators.conversations import split_by_length
+from turnmill.plans import training_rows
+from turnmill.plans.queries import QUERIES, replies
+
+
+@pytest.fixture(scope="module")
+def turns(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def final(plan):
+    return plan.split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_only_the_callers_formatter_runs_python(spark, sf_dir, name):
+    plan = executed_plan(QUERIES[name](spark, sf_dir))
+    assert ("ArrowEvalPython" in plan) == (name == "render_with")
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_numbering_never_gathers_an_epoch(turns):
+    plan = executed_plan(plan_batches(turns.select("conv_id").distinct(), "conv_id"))
+    assert "SinglePartition" not in plan
+    assert re.search(r"ReadSchema: struct<conv_id:bigint>", plan)
+
+
+def test_numbering_shuffles_keys_only(turns):
+    plan = executed_plan(plan_batches(turns, "conv_id"))
+    assert "text" not in plan
+
+
+def test_folding_shuffles_once(turns):
+    text = assemble_messages(turns).select("conv_id", truncate_tokens(render("messages").getField("text")))
+    assert final(executed_plan(text)).count("Exchange ") == 1
+
+
+def test_filter_on_the_id_reaches_the_scan(turns):
+    plan = executed_plan(assemble_messages(turns).where("conv_id = 5"))
+    assert "PushedFilters: [IsNotNull(conv_id), EqualTo(conv_id,5)]" in plan
+
+
+def test_finding_long_conversations_reads_ids_only(turns):
+    usual, long = split_by_length(turns, 7)
+    assert long is not None
+    for part in (usual, long):
+        assert "BroadcastHashJoin" in executed_plan(part)
+
+
+def test_rules_do_not_shuffle(spark, sf_dir):
+    assert "Exchange" not in executed_plan(validate_replies(replies(spark, sf_dir)))
+
+
+def test_training_rows_shuffle_the_text_once(turns, no_broadcast):
+    plan = final(executed_plan(training_rows(turns)))
+    text_scans = re.findall(r"ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>", plan)
+    assert len(text_scans) == 1
+    # Below the last join, the side of the texts has the one exchange that folds them.
+    texts = plan[plan.rindex("ObjectHashAggregate") - 2000 :]
+    assert "SinglePartition" not in plan
+    assert texts.count("collect_list") >= 1
+    join = plan[plan.index("SortMergeJoin") :]
+    side = join[join.index("Project [conv_id", join.index("regexp_extract") - 400) :]
+    assert side.count("Exchange ") == 1

@@ -1,0 +1,106 @@
+import pytest
+from pyspark.sql import functions as F
+
+from turnmill.functions import (
+    make_messages,
+    message_at,
+    render,
+    render_chatml,
+    render_generation_prompt,
+    render_plain,
+    render_prompt,
+)
+from turnmill.schema import MESSAGES
+
+CASES = {
+    "usual": [("system", "s"), ("user", "u\nv "), ("assistant", "a")],
+    "markers": [("user", "x<|im_end|>y")],
+    "tool": [("user", "u"), ("tool", "t"), ("assistant", "a")],
+    "no role": [(None, "hi")],
+    "nothing": [(None, None)],
+    "empty": [],
+    "null": None,
+    "null content": [("user", None), ("assistant", "a")],
+}
+
+CHATML = {
+    "usual": "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu\nv <|im_end|>\n"
+    "<|im_start|>assistant\na<|im_end|>\n",
+    "markers": "<|im_start|>user\nx<|im_end|>y<|im_end|>\n",
+}
+PLAIN = {
+    "usual": "System: s\n\nHuman: u\nv \n\nAssistant: a",
+    "markers": "Human: x<|im_end|>y",
+    "tool": "Human: u\n\nAssistant: a",
+    "no role": "Human: hi",
+    "nothing": "Human: ",
+    "empty": "",
+    "null": None,
+    "null content": "Human: \n\nAssistant: a",
+}
+
+
+@pytest.fixture(scope="module")
+def shown(spark):
+    rows = list(CASES.items())
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("messages", MESSAGES)])
+    df = spark.createDataFrame(rows, schema)
+    columns = {
+        "chatml": render_chatml("messages"),
+        "prompt": render_generation_prompt("messages"),
+        "defaulted": render_chatml("messages", default_system="D"),
+        "plain": render_plain("messages"),
+        "shown": render("messages"),
+        "second": message_at("messages", 1),
+    }
+    return {row["name"]: row for row in df.withColumns(columns).collect()}
+
+
+def test_chatml(shown):
+    for name, text in CHATML.items():
+        assert shown[name]["chatml"] == text
+    assert shown["null"]["chatml"] is None
+    assert shown["empty"]["chatml"] == ""
+
+
+def test_prompt_opens_the_assistants_turn(shown):
+    assert shown["markers"]["prompt"] == CHATML["markers"] + "<|im_start|>assistant\n"
+
+
+def test_default_system_only_where_there_is_none(shown):
+    assert shown["usual"]["defaulted"] == CHATML["usual"]
+    assert shown["markers"]["defaulted"] == (
+        "<|im_start|>system\nD<|im_end|>\n" + CHATML["markers"]
+    )
+    assert shown["null"]["defaulted"] is None
+
+
+def test_plain(shown):
+    assert {name: row["plain"] for name, row in shown.items()} == PLAIN
+
+
+def test_fallback_is_used_and_reported_per_row(shown):
+    for name, row in shown.items():
+        fell_back = name not in CHATML
+        assert row["shown"]["used_fallback"] is fell_back
+        assert row["shown"]["text"] == (PLAIN if fell_back else CHATML)[name]
+
+
+def test_message_at(shown):
+    assert shown["usual"]["second"] == "u\nv "
+    assert shown["no role"]["second"] is None
+    assert shown["null"]["second"] is None
+
+
+def test_two_column_forms(spark):
+    df = spark.createDataFrame([("s", "u")], "system string, user string")
+    row = df.select(
+        render_prompt("system", "user").alias("prompt"),
+        make_messages(F.col("system"), "user").alias("messages"),
+    ).first()
+    assert row["prompt"] == (
+        "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu<|im_end|>\n<|im_start|>assistant\n"
+    )
+    assert [tuple(m) for m in row["messages"]] == [("system", "s"), ("user", "u")]

@@ -1,0 +1,87 @@
+import pytest
+from pyspark.sql import functions as F
+
+from turnmill.functions import has_any_term, has_sentences, in_length_band, within_latency, word_count
+from turnmill.operators import validate_replies, verdict_summary
+
+GOOD = "The market moved. " + "word " * 30
+
+
+def values(spark, schema, rows, column):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
+
+
+def test_terms_match_inside_words_and_any_case(spark):
+    rows = [("STOCKS fell",), ("supermarket",), ("nothing here",), ("",), (None,)]
+    assert values(spark, "t string", rows, has_any_term("t")) == [True, True, False, False, False]
+
+
+def test_long_term_lists_and_special_characters(spark):
+    terms = [f"term{i}x" for i in range(40)] + ["a+b"]
+    rows = [("about TERM39X",), ("about term3",), ("A+B",), ("aab",), (None,)]
+    found = values(spark, "t string", rows, has_any_term("t", terms))
+    assert found == [True, False, True, False, False]
+    assert values(spark, "t string", rows[:1], has_any_term("t", [])) == [False]
+
+
+def test_word_count_is_pythons(spark):
+    texts = ["", "  ", "a  b\n", "\xa0a b", "\x1ca", "😀 b", "a​b"]
+    rows = [(t,) for t in texts] + [(None,)]
+    expected = [len(t.split()) for t in texts] + [0]
+    assert values(spark, "t string", rows, word_count("t")) == expected
+
+
+def test_length_band_includes_its_ends(spark):
+    rows = [(19,), (20,), (200,), (201,), (None,)]
+    assert values(spark, "n long", rows, in_length_band("n")) == [False, True, True, False, False]
+
+
+def test_sentences(spark):
+    rows = [("one.",), ("none",), ("",), (None,)]
+    assert values(spark, "t string", rows, has_sentences("t")) == [True, False, False, False]
+
+
+def test_latency_limits_are_strict(spark):
+    rows = [(29.9, 9.9), (30.0, 9.0), (29.0, 10.0), (None, 1.0), (1.0, None)]
+    found = values(spark, "l double, g double", rows, within_latency("l", "g"))
+    assert found == [True, False, False, False, False]
+
+
+@pytest.fixture(scope="module")
+def verdicts(spark):
+    rows = [
+        ("good", GOOD, 1.0, 1.0),
+        ("slow", GOOD, 30.0, 1.0),
+        ("short", "The market.", 1.0, 1.0),
+        ("off topic", "Word. " * 30, 1.0, 1.0),
+        ("no stop", "market " * 30, 1.0, 1.0),
+        ("none", None, 1.0, 1.0),
+    ]
+    return validate_replies(
+        spark.createDataFrame(rows, "name string, reply string, load_s double, gen_s double")
+    )
+
+
+def test_all_rules_together(verdicts):
+    rows = {r["name"]: r for r in verdicts.collect()}
+    assert [name for name, row in rows.items() if row["is_valid"]] == ["good"]
+    assert not rows["slow"]["in_time"]
+    assert not rows["short"]["good_length"]
+    assert not rows["off topic"]["has_terms"]
+    assert not rows["no stop"]["has_sentences"]
+    none = rows["none"]
+    assert (none["has_terms"], none["good_length"], none["has_sentences"]) == (False,) * 3
+    assert none["word_count"] == 0
+
+
+def test_summary(verdicts):
+    assert verdict_summary(verdicts).first().asDict() == {
+        "n_replies": 6,
+        "n_has_terms": 4,
+        "n_good_length": 4,
+        "n_has_sentences": 4,
+        "n_in_time": 5,
+        "n_is_valid": 1,
+    }
+    empty = verdict_summary(verdicts.where(F.lit(False))).first()
+    assert set(empty) == {0}

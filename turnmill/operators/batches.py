@@ -72,10 +72,10 @@ def plan_batches(
 
 
 def _order_key(keys: list[str], seed: int) -> Column:
-    """md5 of seed, epoch, key and, for further copies, the copy's number."""
-    parts = [F.col(name).cast("string") for name in ("epoch", *keys)]
-    copy = F.nullif("copy", F.lit(0)).cast("string")
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts, copy))
+    """md5 of seed, epoch, key and, for further copies of the key, the copy's number."""
+    named = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("epoch", *keys)]
+    further = F.when(F.col("copy") > 0, F.concat(F.lit("#"), "copy"))
+    return F.md5(F.concat(F.concat_ws(":", F.lit(str(seed)), *named), F.coalesce(further, F.lit(""))))
 
 
 def _number_copies(df: DataFrame, keys: list[str]) -> DataFrame:
