@@ -10,7 +10,7 @@ from turnmill.functions import (
     reply_or_error,
     strip_prompt,
 )
-from turnmill.functions.text import WHITESPACE
+from turnmill.functions.text import WHITESPACE, WHITESPACE_CLASS
 
 SPACED = ["", "  ", "a  b\n", "\xa0a b ", "\x1ca\x1f", "😀 b　", "\r\n\tx y\x85", None]
 
@@ -19,6 +19,13 @@ def test_whitespace_is_pythons():
     assert set(WHITESPACE) == {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()}
 
 
+def test_whitespace_class_is_pythons(spark):
+    points = [i for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([("".join(map(chr, points)),)], "text string")
+    kept = df.select(F.regexp_replace("text", f"[^{WHITESPACE_CLASS}]", "")).first()[0]
+    assert kept == WHITESPACE
+
+
 def test_strip_is_pythons(spark):
     df = spark.createDataFrame([(s,) for s in SPACED], "text string")
     stripped = [r[0] for r in df.select(py_strip("text")).collect()]
