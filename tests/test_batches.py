@@ -51,3 +51,9 @@ def test_key_of_several_columns(spark):
 
 def test_empty(spark):
     assert plan_batches(spark.range(0), "id").count() == 0
+
+
+def test_key_names_must_not_clash(spark):
+    for key in ([], "pos", ["id", "copy"]):
+        with pytest.raises(ValueError):
+            plan_batches(spark.range(1).withColumnRenamed("id", "pos"), key)

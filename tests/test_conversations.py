@@ -5,7 +5,7 @@ from helpers import conversations
 
 from turnmill.operators import assemble_messages
 from turnmill.operators.conversations import leading_turns, split_by_length
-from turnmill.schema import TURN_SCHEMA
+from turnmill.schema import MESSAGES, TURN_SCHEMA
 
 
 @pytest.fixture(scope="module")
@@ -19,9 +19,15 @@ def rows():
         for conv in range(40)
         for _ in range(draw.randrange(1, 8))
     ]
-    made += [(100, draw.randrange(30), draw.choice(roles), f"t{draw.randrange(40)}") for _ in range(200)]
+    made += [
+        (100, draw.randrange(30), draw.choice(roles), f"t{draw.randrange(40)}")
+        for _ in range(200)
+    ]
     made += [(101, 0, "user", "same")] * 90
-    made += [(None, draw.randrange(3), draw.choice(roles), draw.choice(["x", "y", None])) for _ in range(70)]
+    made += [
+        (None, draw.randrange(3), draw.choice(roles), draw.choice(["x", "y", None]))
+        for _ in range(70)
+    ]
     draw.shuffle(made)
     return made
 
@@ -62,8 +68,6 @@ def test_more_long_ids_than_may_be_broadcast(turns, rows):
 
 
 def test_same_type_as_from_json_lines(turns):
-    from turnmill.schema import MESSAGES
-
     found = assemble_messages(turns).schema["messages"].dataType
     assert [f.name for f in found.elementType] == [f.name for f in MESSAGES.elementType]
     assert found.simpleString() == MESSAGES.simpleString()

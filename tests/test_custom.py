@@ -8,13 +8,14 @@ from turnmill.operators import render_with
 
 def upper(batch):
     return [
-        None if messages is None else "/".join(f"{m['role']}:{m['content']}".upper() for m in messages)
-        for messages in batch["messages"]
+        m and "/".join(f"{turn['role']}:{turn['content']}".upper() for turn in m)
+        for m in batch["messages"]
     ]
 
 
 def test_formatter_gets_lists_of_messages(spark):
-    df = spark.createDataFrame([("s", "u", 1), ("t", None, 2)], "system string, user string, n long")
+    rows = [("s", "u", 1), ("t", None, 2)]
+    df = spark.createDataFrame(rows, "system string, user string, n long")
     df = df.withColumn("messages", make_messages("system", "user"))
     missing = df.withColumn("messages", F.when(F.col("n") == 1, F.col("messages")))
     assert [r["text"] for r in render_with(df, upper).collect()] == [
@@ -26,8 +27,12 @@ def test_formatter_gets_lists_of_messages(spark):
 
 def test_formatter_may_use_other_columns(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "name string, n long")
-    repeat = lambda batch: [name * n for name, n in zip(batch["name"], batch["n"])]
-    assert [r["out"] for r in render_with(df, repeat, ["name", "n"], "out").collect()] == ["a", "bb"]
+
+    def repeat(batch):
+        return [name * n for name, n in zip(batch["name"], batch["n"])]
+
+    found = render_with(df, repeat, ["name", "n"], "out").collect()
+    assert [r["out"] for r in found] == ["a", "bb"]
 
 
 def test_one_text_per_row_is_required(spark):

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnmill.functions import (
     make_messages,
@@ -43,9 +44,9 @@ PLAIN = {
 @pytest.fixture(scope="module")
 def shown(spark):
     rows = list(CASES.items())
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("messages", MESSAGES)])
+    schema = T.StructType(
+        [T.StructField("name", T.StringType()), T.StructField("messages", MESSAGES)]
+    )
     df = spark.createDataFrame(rows, schema)
     columns = {
         "chatml": render_chatml("messages"),

@@ -1,7 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from turnmill.functions import has_any_term, has_sentences, in_length_band, within_latency, word_count
+from turnmill.functions import (
+    has_any_term,
+    has_sentences,
+    in_length_band,
+    within_latency,
+    word_count,
+)
 from turnmill.operators import validate_replies, verdict_summary
 
 GOOD = "The market moved. " + "word " * 30

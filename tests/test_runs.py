@@ -9,7 +9,8 @@ from turnmill.sources import concat_datasets
 
 def test_elapsed(spark):
     start = dt.datetime(2024, 1, 1, 10, 0, 0)
-    rows = [(start, start + dt.timedelta(seconds=2, microseconds=500_001)), (start, start), (start, None)]
+    later = start + dt.timedelta(seconds=2, microseconds=500_001)
+    rows = [(start, later), (start, start), (start, None)]
     df = spark.createDataFrame(rows, "a timestamp, b timestamp")
     assert [r[0] for r in df.select(elapsed_seconds("a", "b")).collect()] == [2.500001, 0.0, None]
 
@@ -25,7 +26,8 @@ def test_memory_percent(spark):
 
 def test_benchmark_rollup(spark):
     runs = spark.createDataFrame(
-        [("a", 10, 1.0), ("a", 20, 2.0), ("b", 5, 0.0)], "model string, tokens long, elapsed_s double"
+        [("a", 10, 1.0), ("a", 20, 2.0), ("b", 5, 0.0)],
+        "model string, tokens long, elapsed_s double",
     )
     assert tuple(benchmark_rollup(runs).first()) == (3, 1.0, 35 / 3, 35 / 3)
     by_model = {r["model"]: tuple(r)[1:] for r in benchmark_rollup(runs, ["model"]).collect()}
@@ -38,7 +40,8 @@ def test_counts_keep_copies(spark):
     two = spark.createDataFrame([("x", 1)], "text string, id long")
     both = concat_datasets({"primary": one, "secondary": two})
     assert both.columns == ["dataset", "id", "text"]
-    assert {tuple(r) for r in count_by_dataset(both).collect()} == {("primary", 2), ("secondary", 1)}
+    counts = {tuple(r) for r in count_by_dataset(both).collect()}
+    assert counts == {("primary", 2), ("secondary", 1)}
 
 
 def test_run_summary(spark):

@@ -1,9 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from turnmill.functions import render_prompt
+from turnmill.functions import render, render_prompt
 from turnmill.operators import plan_batches
-from turnmill.sources import concat_datasets, read_conversations, sample_prompts, write_training_text
+from turnmill.schema import CONVERSATION_SCHEMA
+from turnmill.sources import (
+    concat_datasets,
+    read_conversations,
+    sample_prompts,
+    write_training_text,
+)
 
 LINES = [
     '{"messages": [{"role": "user", "content": "u"}], "extra": 1}',
@@ -31,6 +37,25 @@ def test_read_conversations(spark, tmp_path):
     ]
 
 
+def test_functions_also_work_on_a_stream_of_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text("\n".join(LINES))
+    stream = spark.readStream.schema(CONVERSATION_SCHEMA).json(str(tmp_path / "in"))
+    shown = stream.select(render("messages").alias("shown")).select("shown.*")
+    query = (
+        shown.writeStream.format("memory")
+        .queryName("rendered")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(60)
+    found = sorted((tuple(r) for r in spark.table("rendered").collect()), key=repr)
+    batch = read_conversations(spark, str(tmp_path / "in"))
+    batch = batch.select(render("messages").alias("shown")).select("shown.*")
+    assert found == sorted((tuple(r) for r in batch.collect()), key=repr)
+
+
 def test_sample_prompts(spark):
     prompts = sample_prompts(spark)
     assert prompts.columns == ["system", "user"]

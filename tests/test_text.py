@@ -55,7 +55,8 @@ def test_strip_prompt(spark):
 
 
 def test_completion_text(spark):
-    stored = ['{"choices": [{"text": " a "}, {"text": "b"}]}', '{"choices": []}', "{}", "junk", None]
+    both = '{"choices": [{"text": " a "}, {"text": "b"}]}'
+    stored = [both, '{"choices": []}', "{}", "junk", None]
     df = spark.createDataFrame([(s,) for s in stored], "stored string")
     choices = parse_completion(F.col("stored"))
     assert [r[0] for r in df.select(completion_text(choices)).collect()] == [
@@ -68,7 +69,8 @@ def test_completion_text(spark):
 
 
 def test_reply_or_error(spark):
-    df = spark.createDataFrame([("a", None), (None, "boom"), ("a", "boom")], "text string, error string")
+    rows = [("a", None), (None, "boom"), ("a", "boom")]
+    df = spark.createDataFrame(rows, "text string, error string")
     assert [r[0] for r in df.select(reply_or_error("text", "error")).collect()] == [
         "a",
         "Error generating response: boom",

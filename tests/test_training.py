@@ -13,7 +13,10 @@ def rows():
     texts = ["a b c", "", " \n", "x", "one two three four.\nfive", "y "]
 
     def conversation(conv, n, roles, contents=texts):
-        return [(conv, draw.randrange(60), draw.choice(roles), draw.choice(contents)) for _ in range(n)]
+        return [
+            (conv, draw.randrange(60), draw.choice(roles), draw.choice(contents))
+            for _ in range(n)
+        ]
 
     known = ["system", "user", "assistant"]
     made = []
@@ -53,5 +56,5 @@ def test_training_rows(turns, rows):
         (*place, *texts[place[2]])
         for place in batch_plan(list(conversations(rows)), 3407, 2, 2, 4)
     ]
-    columns = ["epoch", "pos", "conv_id", "micro_batch", "step", "epoch_rows", "text", "used_fallback"]
+    columns = "epoch pos conv_id micro_batch step epoch_rows text used_fallback".split()
     assert sorted((tuple(r[c] for c in columns) for r in found), key=lambda r: r[:2]) == expected

@@ -40,10 +40,13 @@ def truncate_tokens(
     if spans is not None:
         return _prefix_udf(spans, n)(text)
     # Possessive repeats match in a loop, without recursion or backtracking, and stop
-    # after n pieces. The match fails, giving '', when no further piece follows.
-    first_pieces = rf"\A(?:{SPACE}*+{NON_SPACE}++){{{n}}}+(?={SPACE}*+{NON_SPACE})"
-    prefix = F.regexp_extract(text, first_pieces, 0)
-    return F.when(prefix != "", prefix).otherwise(text)
+    # after n pieces. Without a further piece nothing matches and the text stays whole.
+    piece = f"{SPACE}*+{NON_SPACE}++"
+    beyond_limit = rf"(?s)\A((?:{piece}){{{n}}}+){piece}.*+"
+    # n + 1 pieces and what separates them take more than 2n characters.
+    return F.when(F.length(text) <= 2 * n, text).otherwise(
+        F.regexp_replace(text, F.lit(beyond_limit), F.lit("$1"))
+    )
 
 
 def count_tokens(text: ColumnOrName, spans: Spans | None = None) -> Column:

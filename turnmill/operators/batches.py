@@ -13,6 +13,11 @@ ACCUMULATION = 4
 
 # Hex digits of the order key that name a bucket: 65,536 even buckets per epoch.
 BUCKET_DIGITS = 4
+# Names of the result's and of working columns: a key may not have one of them.
+RESERVED = frozenset(
+    "epoch pos micro_batch step epoch_rows "
+    "copies copy shard bucket size offset order_key place".split()
+)
 # Most copies of one key that a single task numbers.
 COPIES_PER_SHARD = 100_000
 
@@ -38,6 +43,8 @@ def plan_batches(
     sorts an epoch in one partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if not keys or RESERVED.intersection(keys):
+        raise ValueError(f"a key is needed, and it may not be named {sorted(RESERVED)}")
     copies = _number_copies(df, keys)
     drawn = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     drawn = drawn.withColumn("bucket", F.substring(_order_key(keys, seed), 1, BUCKET_DIGITS))
@@ -75,7 +82,8 @@ def _order_key(keys: list[str], seed: int) -> Column:
     """md5 of seed, epoch, key and, for further copies of the key, the copy's number."""
     named = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("epoch", *keys)]
     further = F.when(F.col("copy") > 0, F.concat(F.lit("#"), "copy"))
-    return F.md5(F.concat(F.concat_ws(":", F.lit(str(seed)), *named), F.coalesce(further, F.lit(""))))
+    first = F.concat_ws(":", F.lit(str(seed)), *named)
+    return F.md5(F.concat(first, F.coalesce(further, F.lit(""))))
 
 
 def _number_copies(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -51,8 +51,12 @@ def split_by_length(
 
 
 def fold_turns(turns: DataFrame) -> DataFrame:
-    """(conv_id, messages), all turns of a conversation in one row. One shuffle."""
-    folded = turns.groupBy("conv_id").agg(
+    """(conv_id, messages), all turns of a conversation in one row. One shuffle.
+
+    Collecting before the shuffle would not make it smaller, only sort each task's
+    turns once more, so they are shuffled as they are.
+    """
+    folded = turns.repartition("conv_id").groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct(*TURN_ORDER))).alias("turns")
     )
     return folded.select("conv_id", F.transform("turns", _message).alias("messages"))
@@ -128,7 +132,7 @@ def _fold_in_parts(turns: DataFrame, part_turns: int) -> DataFrame:
         .withColumn("part_last", F.least("last", (F.col("part") + 1) * part_turns - 1))
         .withColumn("times", (F.col("part_last") - F.col("part_first") + 1).cast("int"))
     )
-    folded = in_parts.groupBy("conv_id", "part").agg(
+    folded = in_parts.repartition("conv_id", "part").groupBy("conv_id", "part").agg(
         F.sort_array(F.collect_list(F.struct(*TURN_ORDER, "times"))).alias("turns")
     )
     repeated = F.transform("turns", lambda turn: F.array_repeat(_message(turn), turn["times"]))
