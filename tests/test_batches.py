@@ -29,6 +29,7 @@ def test_every_row_once_per_epoch_in_an_order_of_its_own(spark):
     again = plan_rows(plan_batches(df.repartition(7), "name", seed=7, epochs=2, micro=3, accum=5))
     assert again == rows
     assert plan_rows(plan_batches(df, "name", seed=8, epochs=2, micro=3, accum=5)) != rows
+    assert plan_rows(plan_batches(df, "name", 7, 2, 3, 5, distinct_keys=True)) == rows
 
 
 def test_copies_get_places_of_their_own(spark, monkeypatch):

@@ -22,7 +22,8 @@ MAX_TOKENS = 2048
 
 SPACE = f"[{WHITESPACE_CLASS}]"
 NON_SPACE = f"[^{WHITESPACE_CLASS}]"
-WORD_OR_MARK = rf"[\p{{L}}\p{{M}}\p{{N}}_]+|[^\p{{L}}\p{{M}}\p{{N}}_{WHITESPACE_CLASS}]"
+# Unicode letters, marks, digits and connectors make words; any other visible mark counts alone.
+WORD_OR_MARK = r"(?U)\w++|[^\w\s\x1c-\x1f]"
 
 
 def truncate_tokens(

@@ -75,7 +75,8 @@ def training_rows(
     The text is shuffled once, to fold it by conversation; the order is worked
     out on ids alone and then joined to the folded rows where they are.
     """
-    order = plan_batches(turns.select("conv_id").distinct(), "conv_id", seed, epochs)
+    ids = turns.select("conv_id").distinct()
+    order = plan_batches(ids, "conv_id", seed, epochs, distinct_keys=True)
     texts = training_text(turns.where("conv_id IS NOT NULL"), max_tokens)
     rows = order.join(texts, "conv_id")
     # A plain join finds no partner for a missing id; a null-safe one would shuffle every
