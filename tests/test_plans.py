@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from turnmill.functions import render, truncate_tokens
 from turnmill.operators import assemble_messages, plan_batches, validate_replies
 from turnmill.operators.conversations import split_by_length
-from turnmill.plans import training_rows
+from turnmill.plans import training_rows, training_rows_from_messages
 from turnmill.plans.queries import QUERIES, replies
 
 
@@ -90,3 +90,13 @@ def test_training_rows_shuffle_the_text_once(turns, no_broadcast):
     assert path.count("Exchange") == 1
     assert path.count("SortMergeJoin") == 1
     assert "SinglePartition" not in plan
+
+
+def test_rows_from_messages_shuffle_the_text_once(turns, no_broadcast):
+    chats = assemble_messages(turns).select("messages")
+    plan = final(executed_plan(training_rows_from_messages(chats)))
+    leaf = "ReadSchema: struct<text:string,used_fallback:boolean,text_id:string>"
+    assert plan.count(leaf) == 1
+    path = nodes_above(plan, leaf)
+    assert path.count("Exchange") == 1
+    assert "SinglePartition" not in plan

@@ -1,10 +1,14 @@
+import hashlib
+import json
 import random
 
 import pytest
-from helpers import batch_plan, conversations, training_texts
+from helpers import batch_plan, chatml, complete, conversations, cut, plain, training_texts
 
-from turnmill.plans import training_rows, training_text
+from turnmill.operators import batches
+from turnmill.plans import training_rows, training_rows_from_messages, training_text
 from turnmill.schema import TURN_SCHEMA
+from turnmill.sources import read_conversations
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +62,34 @@ def test_training_rows(turns, rows):
     ]
     columns = "epoch pos conv_id micro_batch step epoch_rows text used_fallback".split()
     assert sorted((tuple(r[c] for c in columns) for r in found), key=lambda r: r[:2]) == expected
+
+
+@pytest.mark.parametrize("shard", [100_000, 7])
+def test_from_json_lines_to_training_rows(spark, tmp_path, monkeypatch, shard):
+    # A third of the conversations are copies of one; small shards treat it as a hot one.
+    monkeypatch.setattr(batches, "COPIES_PER_SHARD", shard)
+    made = [[("user", f"question {i}"), ("assistant", "word " * (i % 9))] for i in range(40)]
+    made += [[("user", "the same"), ("assistant", "again")]] * 20
+    made += [[("tool", "x"), (None, "y")], [], [], None, None]
+    lines = [
+        json.dumps({"messages": m and [dict(zip(("role", "content"), t)) for t in m]})
+        for m in made
+    ]
+    (tmp_path / "chats.jsonl").write_text("\n".join([*lines, "not json"]))
+
+    texts = {}
+    ids = []
+    for messages in [*made, None]:
+        shown = complete(messages)
+        text = None
+        if messages is not None:
+            text = cut(chatml(messages) if shown else plain(messages), 6)
+        ids.append("" if text is None else hashlib.sha256(text.encode()).hexdigest())
+        texts[ids[-1]] = (text, not shown)
+
+    chats = read_conversations(spark, str(tmp_path / "chats.jsonl"))
+    found = training_rows_from_messages(chats, max_tokens=6)
+    columns = "epoch pos text_id micro_batch step epoch_rows text used_fallback".split()
+    assert sorted(found.columns) == sorted(columns)
+    rows = sorted((tuple(r[c] for c in columns) for r in found.collect()), key=lambda r: r[:2])
+    assert rows == [(*place, *texts[place[2]]) for place in batch_plan(ids, 3407, 3, 2, 4)]

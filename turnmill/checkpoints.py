@@ -1,8 +1,9 @@
 """Where lineage is cut."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
@@ -21,3 +22,16 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="turnmill-checkpoint-")
     context.setCheckpointDir(configured)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write a table to the checkpoint folder and read it back.
+
+    Unlike checkpoint() this keeps columns apart, so that a later step can read
+    ids without the texts next to them.
+    """
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -48,10 +48,46 @@ def plan_batches(
     if not keys or RESERVED.intersection(keys):
         raise ValueError(f"a key is needed, and it may not be named {sorted(RESERVED)}")
     if distinct_keys:
-        rows = df.select(*keys, F.lit(0).cast("bigint").alias("copy"))
+        copies = df.select(*keys, F.expr("0L AS copy"), F.expr("1L AS copies"))
     else:
-        rows = _number_copies(df, keys)
-    drawn = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        copies = _number_copies(_count_copies(df, keys), keys)
+    placed = _place(copies, keys, seed, epochs, micro, accum)
+    return placed.select("epoch", "pos", *keys, "micro_batch", "step", "epoch_rows")
+
+
+def place_rows(
+    df: DataFrame,
+    key: str,
+    seed: int = SEED,
+    epochs: int = EPOCHS,
+    micro: int = MICRO_BATCH,
+    accum: int = ACCUMULATION,
+) -> DataFrame:
+    """The rows of `df` next to their places, each once per epoch.
+
+    Rows with equal keys must be equal, and keys must not be NULL. One row per
+    key is shuffled and meets the key's places. Where a key has very many, its
+    row is repeated for every shard of them, and they meet shard by shard.
+    """
+    counted = _count_copies(df, [key])
+    placed = _place(_number_copies(counted, [key]), [key], seed, epochs, micro, accum)
+    others = [name for name in df.columns if name != key]
+    row = df.groupBy(key).agg(*[F.first(name).alias(name) for name in others])
+
+    many = F.col("copies") > COPIES_PER_SHARD
+    in_shard = F.expr(f"copy div {COPIES_PER_SHARD}")
+    shards = F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES_PER_SHARD})"))
+    repeated = row.join(counted.where(many), key).withColumn("shard", shards).drop("copies")
+    columns = ["epoch", "pos", key, "micro_batch", "step", "epoch_rows", *others]
+    usual = placed.where(~many).join(row, key).select(*columns)
+    hot = placed.where(many).withColumn("shard", in_shard).join(repeated, [key, "shard"])
+    return usual.unionByName(hot.select(*columns))
+
+
+def _place(
+    copies: DataFrame, keys: list[str], seed: int, epochs: int, micro: int, accum: int
+) -> DataFrame:
+    drawn = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     drawn = drawn.withColumn("bucket", F.substring(_order_key(keys, seed), 1, BUCKET_DIGITS))
 
     sizes = drawn.groupBy("epoch", "bucket").agg(F.count("*").alias("size"))
@@ -72,14 +108,8 @@ def plan_batches(
         .withColumn("place", F.row_number().over(within))
         .join(offsets, ["epoch", "bucket"])
         .withColumn("pos", F.col("offset") + F.col("place") - 1)
-        .select(
-            "epoch",
-            "pos",
-            *keys,
-            F.expr(f"pos div {int(micro)}").alias("micro_batch"),
-            F.expr(f"pos div {int(micro) * int(accum)}").alias("step"),
-            "epoch_rows",
-        )
+        .withColumn("micro_batch", F.expr(f"pos div {int(micro)}"))
+        .withColumn("step", F.expr(f"pos div {int(micro) * int(accum)}"))
     )
 
 
@@ -91,18 +121,22 @@ def _order_key(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat(first, F.coalesce(further, F.lit(""))))
 
 
-def _number_copies(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per input row: the key and a number that tells its copies apart.
+def _count_copies(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; copies are counted before they are shuffled."""
+    return df.groupBy(*keys).agg(F.count("*").alias("copies"))
+
+
+def _number_copies(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per copy: the key and a number that tells its copies apart.
 
-    Copies are counted before they are shuffled. A key with very many of them is
-    spread over tasks in shards before its copies are numbered.
+    A key with very many copies is spread over tasks in shards first.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("copies"))
     usual = counted.where(F.col("copies") <= COPIES_PER_SHARD)
     many = counted.where(F.col("copies") > COPIES_PER_SHARD)
 
     def numbered(rows: DataFrame, first: str, last: str) -> DataFrame:
-        return rows.select(*keys, F.explode(F.expr(f"sequence({first}, {last})")).alias("copy"))
+        numbers = F.explode(F.expr(f"sequence({first}, {last})"))
+        return rows.select(*keys, numbers.alias("copy"), "copies")
 
     shards = many.withColumn(
         "shard", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES_PER_SHARD})"))

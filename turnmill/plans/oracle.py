@@ -173,6 +173,23 @@ ORACLE_SQL: dict[str, str] = {
                {_cut("chatml", 2048)} AS text, false AS used_fallback
         FROM {_PLAN} JOIN (SELECT conv_id, {_CHATML_TEXT} AS chatml
                            FROM conversations GROUP BY conv_id) USING (conv_id)""",
+    "training_rows_from_messages": f"""
+        SELECT epoch, pos, text_id, pos // 2 AS micro_batch, pos // 8 AS step, epoch_rows,
+               text, false AS used_fallback
+        FROM (
+            SELECT epoch, text_id, text, count(*) OVER (PARTITION BY epoch) AS epoch_rows,
+                   row_number() OVER (
+                       PARTITION BY epoch
+                       ORDER BY md5('3407:' || epoch || ':' || text_id
+                                    || CASE WHEN copy > 0 THEN '#' || copy ELSE '' END),
+                                text_id, copy) - 1 AS pos
+            FROM (
+                SELECT sha256(text) AS text_id, text,
+                       row_number() OVER (PARTITION BY text) - 1 AS copy
+                FROM (SELECT {_cut("chatml", 2048)} AS text
+                      FROM (SELECT conv_id, {_CHATML_TEXT} AS chatml
+                            FROM conversations GROUP BY conv_id))),
+                 (SELECT unnest([0, 1, 2])::INTEGER AS epoch))""",
     "training_text": f"""
         SELECT conv_id, {_cut("chatml", 100)} AS text, false AS used_fallback
         FROM (SELECT conv_id, {_CHATML_TEXT} AS chatml FROM conversations GROUP BY conv_id)""",

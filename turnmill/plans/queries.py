@@ -37,7 +37,11 @@ from turnmill.operators import (
     verdict_summary,
     with_memory_percent,
 )
-from turnmill.plans.training import training_rows, training_text
+from turnmill.plans.training import (
+    training_rows,
+    training_rows_from_messages,
+    training_text,
+)
 from turnmill.sources import concat_datasets
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +258,11 @@ def numbered_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_rows(turns(spark, sf_dir))
 
 
+def message_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = assemble_messages(turns(spark, sf_dir)).select("messages")
+    return training_rows_from_messages(conversations)
+
+
 QUERIES: dict[str, Query] = {
     "assemble_messages": assembled,
     "benchmark_rollup": run_rollup,
@@ -278,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_configuration,
     "strip_prompt": stripped_prompts,
     "training_rows": numbered_training_rows,
+    "training_rows_from_messages": message_training_rows,
     "training_text": short_training_text,
     "truncate_tokens": truncated_documents,
     "verdict_summary": reply_verdicts,

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.checkpoints import store
 from turnmill.functions.render import (
     is_complete_message,
     is_rendered_role,
@@ -13,7 +14,7 @@ from turnmill.functions.render import (
     render_plain,
 )
 from turnmill.functions.tokens import MAX_TOKENS, truncate_tokens
-from turnmill.operators.batches import EPOCHS, SEED, plan_batches
+from turnmill.operators.batches import EPOCHS, SEED, place_rows, plan_batches
 from turnmill.operators.conversations import (
     MAX_LONG_IDS,
     PART_TURNS,
@@ -89,3 +90,25 @@ def training_rows(
     return rows.unionByName(
         order.where("conv_id IS NULL").join(text, same_id).drop("text_id")
     )
+
+
+def training_rows_from_messages(
+    conversations: DataFrame,
+    max_tokens: int = MAX_TOKENS,
+    seed: int = SEED,
+    epochs: int = EPOCHS,
+) -> DataFrame:
+    """As `training_rows`, for conversations that already are one row each, as read
+    from JSON Lines: (epoch, pos, text_id, micro_batch, step, epoch_rows, text, used_fallback).
+
+    Such rows have no id, so a digest of the text stands in, which makes the
+    order independent of how the files are split. Conversations with equal texts
+    all stay, each with places of its own; one without messages has NULL text.
+
+    The rendered texts are written to the checkpoint folder when this is called,
+    so that the source is parsed once and the order is worked out on ids alone.
+    """
+    shown = conversations.select(render("messages").alias("shown")).select("shown.*")
+    texts = shown.withColumn("text", truncate_tokens("text", max_tokens))
+    texts = texts.withColumn("text_id", F.coalesce(F.sha2("text", 256), F.lit("")))
+    return place_rows(store(texts), "text_id", seed, epochs)
