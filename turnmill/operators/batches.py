@@ -66,22 +66,25 @@ def place_rows(
     """The rows of `df` next to their places, each once per epoch.
 
     Rows with equal keys must be equal, and keys must not be NULL. One row per
-    key is shuffled and meets the key's places. Where a key has very many, its
-    row is repeated for every shard of them, and they meet shard by shard.
+    key is shuffled and meets the key's places. Whether any key has very many
+    copies is looked up when this is called, in a job over the keys; if so, such a
+    key's row is repeated for every shard of its copies, and they meet shard by shard.
     """
     counted = _count_copies(df, [key])
     placed = _place(_number_copies(counted, [key]), [key], seed, epochs, micro, accum)
     others = [name for name in df.columns if name != key]
     row = df.groupBy(key).agg(*[F.first(name).alias(name) for name in others])
+    columns = ["epoch", "pos", key, "micro_batch", "step", "epoch_rows", *others]
 
     many = F.col("copies") > COPIES_PER_SHARD
-    in_shard = F.expr(f"copy div {COPIES_PER_SHARD}")
+    if counted.where(many).isEmpty():
+        return placed.join(row, key).select(*columns)
+    usual = placed.where(~many).join(row, key)
     shards = F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES_PER_SHARD})"))
     repeated = row.join(counted.where(many), key).withColumn("shard", shards).drop("copies")
-    columns = ["epoch", "pos", key, "micro_batch", "step", "epoch_rows", *others]
-    usual = placed.where(~many).join(row, key).select(*columns)
+    in_shard = F.expr(f"copy div {COPIES_PER_SHARD}")
     hot = placed.where(many).withColumn("shard", in_shard).join(repeated, [key, "shard"])
-    return usual.unionByName(hot.select(*columns))
+    return usual.select(*columns).unionByName(hot.select(*columns))
 
 
 def _place(
