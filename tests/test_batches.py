@@ -54,6 +54,12 @@ def test_empty(spark):
     assert plan_batches(spark.range(0), "id").count() == 0
 
 
+def test_sizes_must_be_positive(spark):
+    for sizes in ({"epochs": 0}, {"micro": 0}, {"accum": 0}):
+        with pytest.raises(ValueError):
+            plan_batches(spark.range(1), "id", **sizes)
+
+
 def test_key_names_must_not_clash(spark):
     for key in ([], "pos", ["id", "copy"]):
         with pytest.raises(ValueError):

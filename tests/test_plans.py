@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from turnmill.functions import render, truncate_tokens
 from turnmill.operators import assemble_messages, plan_batches, validate_replies
-from turnmill.operators.conversations import split_by_length
+from turnmill.operators.conversations import leading_turns, split_by_length
 from turnmill.plans import training_rows, training_rows_from_messages
 from turnmill.plans.queries import QUERIES, replies
 
@@ -100,3 +100,31 @@ def test_rows_from_messages_shuffle_the_text_once(turns, no_broadcast):
     path = nodes_above(plan, leaf)
     assert path.count("Exchange") == 1
     assert "SinglePartition" not in plan
+
+
+@pytest.fixture
+def recommended(spark, no_broadcast):
+    settings = {
+        "spark.sql.optimizer.windowGroupLimitThreshold": "3000",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_leading_turns_are_limited_before_the_shuffle(turns, recommended):
+    plan = final(executed_plan(leading_turns(turns, 2049)))
+    path = nodes_above(plan, "FileScan")
+    assert path.count("WindowGroupLimit") >= 4
+    assert path[-1 - path[::-1].index("Exchange") :].count("WindowGroupLimit") == 1
+
+
+def test_places_are_the_built_side_of_the_last_join(turns, recommended):
+    plan = final(executed_plan(training_rows(turns)))
+    leaf = "ReadSchema: struct<conv_id:bigint,turn:bigint,role:string,text:string>"
+    path = nodes_above(plan, leaf)
+    assert "ShuffledHashJoin" in path
+    assert "Sort" not in path

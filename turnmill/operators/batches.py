@@ -90,6 +90,9 @@ def place_rows(
 def _place(
     copies: DataFrame, keys: list[str], seed: int, epochs: int, micro: int, accum: int
 ) -> DataFrame:
+    """Add epoch, bucket, place, offset, pos and batch numbers to numbered copies."""
+    if min(epochs, micro, accum) < 1:
+        raise ValueError("epochs, micro and accum must be at least 1")
     drawn = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     drawn = drawn.withColumn("bucket", F.substring(_order_key(keys, seed), 1, BUCKET_DIGITS))
 
