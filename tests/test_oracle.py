@@ -4,6 +4,9 @@ import __spark_entry__ as entry_points
 import duckdb
 import pytest
 
+from turnmill.plans.oracle import ORACLE_SQL
+from turnmill.plans.queries import QUERIES
+
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -14,10 +17,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLE_SQL.items() <= entry_points.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     result = entry_points.queries()[name](spark, sf_dir)
     expected = duck.sql(entry_points.oracle_sql()[name])
