@@ -45,18 +45,12 @@ def link_sets(entries: DataFrame, members: Members) -> DataFrame:
     `may_contain(filter, node)`, and maybe more; a node may come up repeatedly.
     """
     shared = _shared_lists(entries)
-    asked = node_filter(shared.select("node"))
-    sets = members(asked).groupBy("node").agg(F.first("n").alias("n"), F.first("members").alias("members"))
-    sets = store(sets)
-
-    leaders = _leader_pairs(shared)
-    first = store(_verified(leaders, sets))
+    first = store(_verified(_leader_pairs(shared), members))
     labels = store(connected_components(first))
-
-    others = store(_cross_label_pairs(shared, labels))
-    if others.isEmpty():
+    others = _cross_label_pairs(shared, labels)
+    second = store(_verified(others, members))
+    if second.isEmpty():
         return labels
-    second = _verified(others, sets)
     return connected_components(first.unionByName(second))
 
 
@@ -70,24 +64,35 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
         .withColumn("band", band)
     )
     lists = Window.partitionBy("token", "shard")
-    dealt = dealt.withColumns(
-        {"lo": F.min("node").over(lists), "hi": F.max("node").over(lists)}
-    ).where("lo <> hi OR shards > 1")
+    own = F.struct("node", "n", "pos")
+    dealt = dealt.withColumns({"lo": F.min(own).over(lists), "hi": F.max("node").over(lists)})
+    dealt = dealt.where("lo.node <> hi OR shards > 1")
     in_band = Window.partitionBy("token", "shard", "band")
-    dealt = dealt.withColumn("leader", F.min("node").over(in_band))
+    dealt = dealt.withColumn("leader", F.min(own).over(in_band))
     return store(dealt.select("token", "node", "n", "pos", "band", "lo", "leader"))
 
 
+# An overlap of 4/9 of both sizes is needed, and from the first common token on there are at
+# most as many common ones as the shorter rest holds.
+ROOM = (
+    "5 * {a}.n >= 4 * {b}.n AND 5 * {b}.n >= 4 * {a}.n "
+    "AND 9 * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= 4 * ({a}.n + {b}.n)"
+)
+
+
 def _leader_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each node with the leader of either kind that it shares most lists with."""
+    """(a, b): each node with the leader of either kind that it shares most lists with, where sizes
+    and positions leave room enough."""
 
     def best(leader: str) -> DataFrame:
-        counted = (
-            shared.where(F.col(leader) != F.col("node")).groupBy("node", leader).agg(F.count("*").alias("lists"))
+        possible = shared.select(F.struct("node", "n", "pos").alias("own"), F.col(leader).alias("other"))
+        possible = possible.where("own.node <> other.node AND " + ROOM.format(a="own", b="other"))
+        counted = possible.groupBy(F.col("own.node").alias("a"), F.col("other.node").alias("b")).agg(
+            F.count("*").alias("lists")
         )
         # Most lists first; of equals, the least leader.
-        rank = F.struct("lists", (-F.col(leader)).alias("rest"))
-        return counted.groupBy("node").agg(F.max_by(leader, rank).alias("b")).select(F.col("node").alias("a"), "b")
+        rank = F.struct("lists", (-F.col("b")).alias("rest"))
+        return counted.groupBy("a").agg(F.max_by("b", rank).alias("b"))
 
     return best("lo").unionByName(best("leader")).distinct()
 
@@ -110,8 +115,6 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
         return blocks.select("token", *[F.col(c).alias(f"{c}_{name}") for c in blocks.columns if c != "token"])
 
-    # An overlap of 4/9 of both sizes is needed, and from the first common token on
-    # there are at most as many common ones as the shorter rest holds.
     pairs = side("a").join(side("b"), "token").where(
         "label_a < label_b AND 5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a "
         "AND 9 * least(rest_a, rest_b) >= 4 * (least_a + least_b)"
@@ -143,13 +146,16 @@ def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([linked(a, b) for a, b in zip(left, right, strict=True)], dtype=bool)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs whose sets have 100 * intersection >= 80 * union."""
-    a = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("left"))
-    b = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("members").alias("right"))
-    sizes = pairs.join(a.select("a", "n_a"), "a").join(b.select("b", "n_b"), "b")
-    alike = sizes.where("5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a").select("a", "b")
-    return alike.join(a, "a").join(b, "b").where(_linked("left", "right")).select("a", "b")
+def _verified(pairs: DataFrame, members: Members) -> DataFrame:
+    """Those pairs (a, b) whose sets have 100 * intersection >= 80 * union. Only the sets of
+    pairs are asked for, each once."""
+    pairs = store(pairs)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = members(node_filter(nodes)).join(nodes, "node", "left_semi")
+    sets = store(asked.groupBy("node").agg(F.first("members").alias("members")))
+    a = sets.select(F.col("node").alias("a"), F.col("members").alias("left"))
+    b = sets.select(F.col("node").alias("b"), F.col("members").alias("right"))
+    return pairs.join(a, "a").join(b, "b").where(_linked("left", "right")).select("a", "b")
 
 
 def filter_bit(node: Column) -> Column:
