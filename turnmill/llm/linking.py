@@ -137,7 +137,6 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-@F.pandas_udf("boolean")
 def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
     def linked(a: bytes, b: bytes) -> bool:
         common = overlap(unpack_set(a), unpack_set(b))
@@ -155,7 +154,7 @@ def _verified(pairs: DataFrame, members: Members) -> DataFrame:
     sets = store(asked.groupBy("node").agg(F.first("members").alias("members")))
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("left"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("right"))
-    return pairs.join(a, "a").join(b, "b").where(_linked("left", "right")).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("left", "right")).select("a", "b")
 
 
 def filter_bit(node: Column) -> Column:

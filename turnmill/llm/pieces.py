@@ -258,7 +258,9 @@ class Encoder:
         encoded = []
         for start in range(0, len(texts), 512):
             some = texts[start : start + 512]
-            simple = [bool(text) and self.model.at_spaces and "  " not in text for text in some]
+            simple = [
+                bool(text) and self.model.at_spaces and text[0] != " " and "  " not in text for text in some
+            ]
             cut = [text.split(" ") for text, own in zip(some, simple, strict=True) if own]
             found = [self.find(" " + text) if text else [] for text, own in zip(some, simple, strict=True) if not own]
             ids = {True: iter(self._ids(cut, self.spaced, " ")), False: iter(self._ids(found, self.plain, ""))}
