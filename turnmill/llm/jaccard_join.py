@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
-from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain
+from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain, sketch_columns, sketches
 from turnmill.llm.words import (
     SPACED,
     pack_set,
@@ -25,6 +25,8 @@ MAX_FREQUENT = 2_000_000
 # A list with 2^(SHARD_CLASS + i) counted copies is dealt over 2^i shards.
 SHARD_CLASS = 8
 MAX_SHARDS = 1 << 16
+# A set is sketched in so many 64-bit words.
+SKETCH = 4
 # First places of a quick test for frequent shingles.
 HINT_BITS = np.uint64((1 << 22) - 1)
 
@@ -69,28 +71,40 @@ class Order:
 
 
 def _scan_documents(size: int) -> Callable:
-    """(doc_id, n, node) of each row, and (token, count) of shingles that several rows of a
+    """(doc_id, n, node, sketch) of each row, and (token, count) of shingles that several rows of a
     batch share: few rows, but each frequent shingle is among them."""
+    names = ["doc_id", "n", "node", *sketch_columns(SKETCH), "token", "count"]
 
     def scan(batches):
         for batch in batches:
-            ns, nodes, found = [], [], []
-            for _, members in batch_sets(batch, size):
-                ns.append(len(members))
-                nodes.append(set_id(members) if len(members) else None)
-                found.append(members)
-            rows = len(ns)
+            found = [members for _, members in batch_sets(batch, size)]
+            rows = len(found)
+            bounds = np.cumsum([0, *map(len, found)])
+            together = np.concatenate([*found, np.zeros(0, np.uint64)])
+            bits = sketches(together, bounds, SKETCH)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ns, pa.int32()), pa.array(nodes, pa.int64()),
-                 pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())],
-                ["doc_id", "n", "node", "token", "count"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(np.diff(bounds).astype(np.int32)),
+                    pa.array([set_id(members) if len(members) else None for members in found], pa.int64()),
+                    *[pa.array(bits[:, i]) for i in range(SKETCH)],
+                    pa.nulls(rows, pa.int64()),
+                    pa.nulls(rows, pa.int64()),
+                ],
+                names,
             )
-            tokens, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+            tokens, counts = np.unique(together, return_counts=True)
             tokens, counts = tokens[counts > 1], counts[counts > 1]
+            none = len(tokens)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(tokens), batch.column("doc_id").type), pa.nulls(len(tokens), pa.int32()),
-                 pa.nulls(len(tokens), pa.int64()), pa.array(tokens.astype(np.int64)), pa.array(counts.astype(np.int64))],
-                ["doc_id", "n", "node", "token", "count"],
+                [
+                    pa.nulls(none, batch.column("doc_id").type),
+                    pa.nulls(none, pa.int32()),
+                    *[pa.nulls(none, pa.int64()) for _ in range(1 + SKETCH)],
+                    pa.array(tokens.astype(np.int64)),
+                    pa.array(counts.astype(np.int64)),
+                ],
+                names,
             )
 
     return scan
@@ -186,7 +200,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     id_type = texts.schema["doc_id"].dataType.simpleString()
     scanned = store(
         texts.mapInArrow(
-            _scan_documents(shingle), f"doc_id {id_type}, n int, node long, token long, count long"
+            _scan_documents(shingle),
+            f"doc_id {id_type}, n int, node long, "
+            f"{', '.join(f'{c} long' for c in sketch_columns(SKETCH))}, token long, count long",
         )
     )
     order = spark.sparkContext.broadcast(frequent_shingles(scanned.where("token IS NOT NULL").select("token", "count")))
@@ -196,7 +212,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         sent = spark.sparkContext.broadcast(asked)
         return texts.select("text").mapInArrow(_scan_members(shingle, sent), SETS)
 
-    labels = link_sets(entries, members)
+    sketched = scanned.where("node IS NOT NULL").select("node", *sketch_columns(SKETCH))
+    labels = link_sets(entries, members, sketched)
     rows = scanned.where("token IS NULL").select("doc_id", "n", "node")
     labelled = rows.join(labels, "node", "left").select(
         "doc_id", "n", F.coalesce("label", "node").alias("label")

@@ -11,6 +11,9 @@ sets that are alike are used to skip work:
 * *Skipping by position.* What is left of a list is grouped in blocks of nearby sizes and
   positions. A pair of blocks whose sizes and positions leave too little room for the
   overlap is skipped as a whole, before its entries are read.
+* *Skipping by sketch.* A set's sketch has a bit per bucket: is the number of its members there odd?
+  Two sets differ in at least as many members as their sketches do in bits, so that
+  pairs whose sketches are too far apart are never made.
 
 A list with very many entries is dealt over shards by node for the first step; blocks
 come from partial aggregates, and blocks meet entries in equi-joins that Spark may split.
@@ -33,30 +36,60 @@ SETS = "node long, n int, members binary"
 # A position block spans this many places; sizes in a band differ by a quarter at most.
 BLOCK = 16
 BAND_RATIO = 1.25
+# Leaders that a set is checked against first.
+LEADERS = 2
 # Bits of the filter that tells a scan which sets may be asked for: 2 MB.
 FILTER_BITS = 1 << 24
 
 Members = Callable[[bytes], DataFrame]
 
 
-def link_sets(entries: DataFrame, members: Members) -> DataFrame:
+def sketch_columns(words: int) -> list[str]:
+    """Names of the columns of a sketch of 64 * words bits."""
+    return [f"sketch{i}" for i in range(words)]
+
+
+def sketches(shingles: np.ndarray, bounds: np.ndarray, words: int) -> np.ndarray:
+    """The sketches of sets that lie end to end: a row of signed 64-bit numbers each."""
+    bits, count = 64 * words, len(bounds) - 1
+    owner = np.repeat(np.arange(count), np.diff(bounds))
+    bucket = ((shingles >> np.uint64(33)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(owner * bits + bucket, minlength=count * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(count, bits), axis=1).view(np.int64)
+
+
+def link_sets(entries: DataFrame, members: Members, sketched: DataFrame) -> DataFrame:
     """(node, label) of every set that is linked with another: label is the least node
     reachable by links. `members(filter)` gives SETS rows for all nodes that
     `may_contain(filter, node)`, and maybe more; a node may come up repeatedly.
+    `sketched` has each node with its sketch in all other columns, repeatedly maybe.
     """
     shared = _shared_lists(entries)
     first = store(_verified(_leader_pairs(shared), members))
     labels = store(connected_components(first))
-    others = _cross_label_pairs(shared, labels)
+    others = _cross_label_pairs(shared, labels, sketched)
     second = store(_verified(others, members))
     if second.isEmpty():
         return labels
-    return connected_components(first.unionByName(second))
+    return _merged(labels, second)
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links (a, b): components of the labels, not of the sets under them."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    known = store(labels.unionByName(alone))
+    for end in "ab":
+        named = known.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        links = links.join(named, end)
+    between = links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+    top = connected_components(between).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return known.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
 def _shared_lists(entries: DataFrame) -> DataFrame:
-    """Entries whose token is in another set too, with two leaders: the least node of the
-    list's shard, and the least one of about the same size."""
+    """Entries whose token is in another set too, with three leaders: the least node of the
+    list's shard, and the least and the greatest one of about the same size."""
     band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
     dealt = (
         entries.withColumn("shard", F.expr("cast(pmod(node, shards) as int)"))
@@ -68,8 +101,8 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
     dealt = dealt.withColumns({"lo": F.min(own).over(lists), "hi": F.max("node").over(lists)})
     dealt = dealt.where("lo.node <> hi OR shards > 1")
     in_band = Window.partitionBy("token", "shard", "band")
-    dealt = dealt.withColumn("leader", F.min(own).over(in_band))
-    return store(dealt.select("token", "node", "n", "pos", "band", "lo", "leader"))
+    dealt = dealt.withColumns({"leader": F.min(own).over(in_band), "last": F.max(own).over(in_band)})
+    return store(dealt.select("token", "node", "n", "pos", "band", "lo", "leader", "last"))
 
 
 # An overlap of 4/9 of both sizes is needed, and from the first common token on there are at
@@ -81,26 +114,27 @@ ROOM = (
 
 
 def _leader_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each node with the leader of either kind that it shares most lists with, where sizes
+    """(a, b): each node with the LEADERS leaders that it shares most lists with, where sizes
     and positions leave room enough."""
-
-    def best(leader: str) -> DataFrame:
-        possible = shared.select(F.struct("node", "n", "pos").alias("own"), F.col(leader).alias("other"))
-        possible = possible.where("own.node <> other.node AND " + ROOM.format(a="own", b="other"))
-        counted = possible.groupBy(F.col("own.node").alias("a"), F.col("other.node").alias("b")).agg(
-            F.count("*").alias("lists")
-        )
-        # Most lists first; of equals, the least leader.
-        rank = F.struct("lists", (-F.col("b")).alias("rest"))
-        return counted.groupBy("a").agg(F.max_by("b", rank).alias("b"))
-
-    return best("lo").unionByName(best("leader")).distinct()
-
-
-def _cross_label_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): all pairs of sets in a common list that have different labels and room enough."""
-    labelled = shared.join(labels, "node", "left").select(
-        "token", "node", "n", "pos", "band",
+    possible = shared.select(
+        F.struct("node", "n", "pos").alias("own"),
+        F.explode(F.array_distinct(F.array("lo", "leader", "last"))).alias("other"),
+    ).where("own.node <> other.node AND " + ROOM.format(a="own", b="other"))
+    counted = possible.groupBy(F.col("own.node").alias("a"), F.col("other.node").alias("b")).agg(
+        F.count("*").alias("lists")
+    )
+    # Most lists first; of equals, the least leader.
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), "b"))
+    return counted.withColumn("rank", rank).where(F.col("rank") <= LEADERS).select("a", "b")
+
+
+def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(a, b): all pairs of sets in a common list that have different labels, room enough and
+    sketches near enough."""
+    bits = [c for c in sketched.columns if c != "node"]
+    known = sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in bits]).join(labels, "node", "left")
+    labelled = shared.join(known, "node").select(
+        "token", "node", "n", "pos", "band", *bits,
         F.coalesce("label", "node").alias("label"),
         F.expr(f"pos div {BLOCK}").alias("place"),
     )
@@ -125,7 +159,7 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     def entries(name: str) -> DataFrame:
         return labelled.select(
             "token",
-            *[F.col(c).alias(f"{c}_{name}") for c in ("label", "band", "place", "node", "n", "pos")],
+            *[F.col(c).alias(f"{c}_{name}") for c in ("label", "band", "place", "node", "n", "pos", *bits)],
         )
 
     met = pairs.join(entries("a"), ["token", "label_a", "band_a", "place_a"])
@@ -133,6 +167,7 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     met = met.where(
         "5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a "
         "AND 9 * least(n_a - pos_a, n_b - pos_b) >= 4 * (n_a + n_b)"
+        f" AND 9 * ({' + '.join(f'bit_count({c}_a ^ {c}_b)' for c in bits)}) <= n_a + n_b"
     )
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
