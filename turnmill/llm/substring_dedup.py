@@ -1,9 +1,12 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are lines. Each distinct one is given bands of its MinHash signature; paragraphs that
-share a band are joined and verified by exact Jaccard similarity (see `linking`), and the
-components of verified links, copies included, are classes of repeated paragraphs. A repeated
-passage is a run of such paragraphs of one document, so that it may span several lines.
+Paragraphs are lines, and spans wherever in the text. Each distinct line is given bands of its
+MinHash signature; lines that share a band are joined and verified by exact Jaccard similarity (see
+`linking`), and the components of verified links, copies included, are classes of repeated
+lines. Spans are chosen by the least hash too, of each stretch of neighbouring spans, so that texts which
+share a longer passage have the same spans in it, however their lines are broken; a span's
+class are its verbatim copies. A repeated passage is a run of such paragraphs of one
+document, so that it may start and end anywhere.
 """
 
 from collections.abc import Callable, Iterator
@@ -15,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
-from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain
+from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain, sketch_columns, sketches
 from turnmill.llm.words import (
     SPACED,
+    Words,
     mix,
     pack_set,
     row_chunks,
@@ -36,6 +40,11 @@ LEAST_WORDS = 50
 # Paragraphs with fewer words are not looked up; between repeated ones they do not end a passage.
 LEAST_PARAGRAPH = 5
 NEWLINE = 0x0A
+# A line is sketched in so many 64-bit words.
+SKETCH = 1
+# Words of a span, and of how many spans in a row the one with the least hash is chosen. Texts with
+# SPAN + SPAN_CHOICE - 1 = 51 words in common share a chosen span.
+SPAN, SPAN_CHOICE = 35, 17
 
 
 class Lines(NamedTuple):
@@ -108,6 +117,75 @@ def line_bands(lines: Lines, chosen: np.ndarray, bands: int, rows: int) -> np.nd
 
 
 LINES = "row long, seq int, start long, end long, first_word long, last_word long, node long"
+SPANS = "row long, start long, end long, first_word long, last_word long, span long"
+
+
+def _extreme(values: np.ndarray, size: int, of: np.ufunc) -> np.ndarray:
+    """The least or greatest of each `size` values in a row."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        values = of(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def chosen_spans(words: Words, size: int, choice: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of spans of `size` words that have the least hash of `choice` spans in a row
+    of one text."""
+    hashes = windows(words.hashes, size)
+    if len(hashes) < choice:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    least = _extreme(hashes, choice, np.minimum)
+    # A stretch that runs into the next text chooses nothing: no hash is as low as zero.
+    whole = text[: len(least)] == text[size + choice - 2 :][: len(least)]
+    least = np.where(whole, least, np.uint64(0))
+    edge = np.zeros(choice - 1, np.uint64)
+    best = _extreme(np.concatenate([edge, least, edge]), choice, np.maximum)
+    at = np.flatnonzero((best == hashes) & (hashes != 0))
+    return at, hashes[at]
+
+
+def _scan_spans(size: int, choice: int) -> Callable:
+    """(doc_id, SPANS) of the chosen spans; numbers rows as `_scan_lines` does."""
+
+    def scan(batches):
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            data, offsets = string_buffers(batch.column("text"))
+            for rows in row_chunks(offsets):
+                words = split_words(data, offsets, rows, SPACED)
+                at, hashes = chosen_spans(words, size, choice)
+                if not len(at):
+                    continue
+                own = np.searchsorted(words.first, at, "right") - 1
+                text = data[words.base : int(offsets[rows.stop])]
+                characters = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
+                before = characters[offsets[rows.start : rows.stop] - words.base][own]
+                first = at - words.first[own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(own + rows.start)),
+                        *[
+                            pa.array(v.astype(np.int64))
+                            for v in (
+                                own + rows.start + row,
+                                characters[words.starts[at]] - before,
+                                characters[words.ends[at + size - 1]] - before,
+                                first,
+                                first + size,
+                            )
+                        ],
+                        pa.array(hashes.view(np.int64)),
+                    ],
+                    ["doc_id", "row", "start", "end", "first_word", "last_word", "span"],
+                )
+            row += batch.num_rows
+
+    return scan
 
 
 def _scan_lines(shingle: int, least: int) -> Callable:
@@ -117,6 +195,7 @@ def _scan_lines(shingle: int, least: int) -> Callable:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lines in line_sets(batch.column("text"), shingle, least):
+                bits = sketches(lines.shingles, lines.bounds, SKETCH)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(lines.row)),
@@ -124,8 +203,9 @@ def _scan_lines(shingle: int, least: int) -> Callable:
                         pa.array(lines.seq.astype(np.int32)),
                         *[pa.array(v.astype(np.int64)) for v in (lines.start, lines.end, lines.first_word, lines.last_word)],
                         pa.array(lines.node),
+                        *[pa.array(bits[:, i]) for i in range(SKETCH)],
                     ],
-                    ["doc_id", "row", "seq", "start", "end", "first_word", "last_word", "node"],
+                    ["doc_id", "row", "seq", "start", "end", "first_word", "last_word", "node", *sketch_columns(SKETCH)],
                 )
             row += batch.num_rows
 
@@ -204,15 +284,20 @@ def repeated_paragraphs(
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    lines = store(texts.mapInArrow(_scan_lines(shingle, least), f"doc_id {kind}, {LINES}"))
+    bits = sketch_columns(SKETCH)
+    lines = store(
+        texts.mapInArrow(
+            _scan_lines(shingle, least), f"doc_id {kind}, {LINES}, {', '.join(f'{c} long' for c in bits)}"
+        )
+    )
     entries = texts.select("text").mapInArrow(_scan_bands(shingle, least, bands, rows), ENTRY)
 
     def members(asked: bytes) -> DataFrame:
         sent = spark.sparkContext.broadcast(asked)
         return texts.select("text").mapInArrow(_scan_members(shingle, least, sent), SETS)
 
-    labels = link_sets(entries, members)
-    labelled = lines.join(labels, "node", "left").withColumn("class_id", F.coalesce("label", "node"))
+    labels = link_sets(entries, members, lines.select("node", *bits))
+    labelled = lines.drop(*bits).join(labels, "node", "left").withColumn("class_id", F.coalesce("label", "node"))
     place = F.struct("doc_id", "row", "seq")
     classes = (
         labelled.groupBy("class_id")
@@ -227,24 +312,80 @@ def repeated_paragraphs(
     )
 
 
-def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
-    """Runs of repeated paragraphs with at least `least_words` words: (doc_id, start, end, n_words,
-    n_paragraphs, n_removed, first_doc_id).
+def repeated_spans(docs: DataFrame, size: int = SPAN, choice: int = SPAN_CHOICE) -> DataFrame:
+    """Spans of `size` words that are in several rows of `docs` (doc_id, text) verbatim, but for the case of
+    A-Z and white space: (doc_id, row, start, end, first_word, last_word, first_doc_id, first).
+
+    Rows that have `size + choice - 1` words in a row in common share a span within them. first_doc_id is the least
+    document with the span; `first` is true in its first row. Null and empty texts have none.
+    """
+    texts = docs.select("doc_id", "text")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    spans = store(texts.mapInArrow(_scan_spans(size, choice), f"doc_id {kind}, {SPANS}"))
+    shared = (
+        spans.groupBy("span")
+        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("doc_id", "row")).alias("one"))
+        .where("lo <> hi")
+        .select("span", "one")
+    )
+    return spans.join(shared, "span").select(
+        "doc_id", "row", "start", "end", "first_word", "last_word",
+        F.col("one.doc_id").alias("first_doc_id"),
+        (F.col("row") == F.col("one.row")).alias("first"),
+    )
 
-    Shorter lines between do not end a run. n_removed counts paragraphs that are not the first of
-    their class; first_doc_id is the least document with one of the run's paragraphs.
+
+def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
+    """Repeated passages: (doc_id, start, end, n_words, n_paragraphs, n_removed, n_spans, n_spans_removed,
+    first_doc_id).
+
+    A passage is a run of repeated lines with at least `least_words` words, or of
+    repeated spans, or of both where they overlap. Shorter lines between do not end a run of
+    lines. So a passage that two rows have verbatim is found if it has SPAN + SPAN_CHOICE - 1 words, to within
+    SPAN_CHOICE - 1 words at either end. n_paragraphs and n_spans count lines and spans, n_removed and
+    n_spans_removed those that are not the first of their class; first_doc_id is the least document with one of them. `options` are those of
+    `repeated_paragraphs`. Null and empty texts have no passages, an empty table gives no rows.
     """
     found = repeated_paragraphs(docs, **options)
     order = Window.partitionBy("row").orderBy("seq")
     new = F.coalesce(F.col("seq") != F.lag("seq").over(order) + 1, F.lit(True))
     runs = found.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
-    passages = runs.groupBy("row", "run").agg(
+    runs = _passages(runs).where(F.col("last_word") - F.col("first_word") >= least_words)
+    spans = repeated_spans(docs).withColumns(
+        {"n_paragraphs": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(1).cast("long")}
+    )
+    runs = runs.drop("run").withColumn("n_spans", F.lit(0).cast("long"))
+    pieces = runs.unionByName(spans.withColumn("n_spans_removed", (~F.col("first")).cast("long")).drop("first"), True)
+    # A piece that starts behind all pieces before it starts a passage.
+    order = Window.partitionBy("row").orderBy("first_word", "last_word")
+    before = F.max("last_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("first_word") > before, F.lit(True))
+    pieces = pieces.withColumn("new", new.cast("int")).withColumn(
+        "run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    passages = pieces.groupBy("row", "run").agg(
         F.first("doc_id").alias("doc_id"),
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         (F.max("last_word") - F.min("first_word")).alias("n_words"),
+        F.sum("n_paragraphs").alias("n_paragraphs"),
+        F.sum("n_removed").alias("n_removed"),
+        F.sum("n_spans").alias("n_spans"),
+        F.coalesce(F.sum("n_spans_removed"), F.lit(0)).alias("n_spans_removed"),
+        F.min("first_doc_id").alias("first_doc_id"),
+    )
+    return passages.drop("row", "run")
+
+
+def _passages(runs: DataFrame) -> DataFrame:
+    """One piece for each (row, run) of paragraphs."""
+    return runs.groupBy("row", "run").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.min("first_word").alias("first_word"),
+        F.max("last_word").alias("last_word"),
         F.count("*").alias("n_paragraphs"),
         F.sum((~F.col("first")).cast("long")).alias("n_removed"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
-    return passages.where(F.col("n_words") >= least_words).drop("row", "run")
