@@ -431,3 +431,55 @@ def test_repeated_passages_are_found_and_clean_documents_left(spark):
     assert texts[1][found[1].start : found[1].end] == "\n".join(passage)
     assert (found[1].n_words, found[1].n_removed, found[2].n_removed, found[10].n_removed) == (79, 0, 2, 3)
     assert {row.first_doc_id for row in found.values()} == {1}
+
+
+def test_passages_within_lines_are_found(spark):
+    rng = random.Random(10)
+
+    def words(n):
+        return [f"u{rng.randrange(10**6)}" for _ in range(n)]
+
+    passages = [words(n) for n in (51, 60, 200)] * 2
+    short = words(34)
+    texts, places = [], []
+    for passage in passages:
+        before, after = words(rng.randrange(90)), words(rng.randrange(90))
+        texts.append(" ".join([*before, *passage, *after]).replace(" u1", "\nu1"))
+        places.append((len(before), len(before) + len(passage)))
+    texts += [" ".join(words(100) + short + words(100)) for _ in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = repeated_passages(df).collect()
+    assert sorted(row.doc_id for row in found) == list(range(len(passages)))
+    for row in found:
+        first, last = (len(texts[row.doc_id][:end].split()) for end in (row.start, row.end))
+        assert places[row.doc_id][0] <= first <= places[row.doc_id][0] + 16
+        assert places[row.doc_id][1] - 16 <= last <= places[row.doc_id][1]
+        assert (row.first_doc_id, row.n_words) == (row.doc_id % 3, last - first)
+        assert row.n_spans_removed == (row.n_spans if row.doc_id >= 3 else 0)
+
+
+def test_links_between_many_near_copies_are_whole(spark):
+    rng = random.Random(11)
+    base = [f"v{i}" for i in range(120)]
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(116)} for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row.doc_id: row.component_id for row in jaccard_components(df).collect()}
+    assert found == {i: root(i) for i in range(len(texts))}
