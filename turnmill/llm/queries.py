@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
 from turnmill.llm import chat_format, quality, url_filter
+from turnmill.llm.centroid_clustering import cluster_vectors
 from turnmill.llm.context_tree import score_texts
 from turnmill.llm.decontamination import find_contamination, is_contaminated
 from turnmill.llm.jaccard_join import jaccard_components
+from turnmill.llm.oracle import ORACLE_SQL
 from turnmill.llm.personal_data import KINDS, find_personal_data, span_text
 from turnmill.llm.pieces import piece_digests, read_pieces
 from turnmill.llm.substring_dedup import repeated_passages
@@ -126,6 +128,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -139,6 +145,8 @@ QUERIES: dict[str, Query] = {
         op8_url_filter,
         op9_piece_encoding,
         op10_substring_dedup,
+        op11_centroid_clustering,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
