@@ -8,10 +8,10 @@ def clustering_sql() -> str:
     steps = [
         f"""v AS MATERIALIZED (
             SELECT row_number() OVER () AS r, vec_id,
-                   list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)::BIGINT) AS x
+                   list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS x
             FROM embeddings
             WHERE len(embedding) = {COMPONENTS}
-              AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {COMPONENTS})""",
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {COMPONENTS})""",
         f"""c0 AS MATERIALIZED (
             SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id), x) - 1 AS k, x
             FROM v QUALIFY k < {CLUSTERS})""",
@@ -22,7 +22,7 @@ def clustering_sql() -> str:
             SELECT r, vec_id, x, best % {CLUSTERS} AS k, best // {CLUSTERS} AS distance
             FROM (SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x,
                          min({CLUSTERS} * list_sum(list_transform(range(1, {COMPONENTS} + 1),
-                             i -> (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT + c.k) AS best
+                             lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT + c.k) AS best
                   FROM v, c{number} c GROUP BY v.r))"""
         )
         steps.append(
