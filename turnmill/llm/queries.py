@@ -14,6 +14,7 @@ from turnmill.llm.jaccard_join import jaccard_components
 from turnmill.llm.oracle import ORACLE_SQL
 from turnmill.llm.personal_data import KINDS, find_personal_data, span_text
 from turnmill.llm.pieces import piece_digests, read_pieces
+from turnmill.llm.spot_signatures import fingerprint_documents
 from turnmill.llm.substring_dedup import repeated_passages
 from turnmill.llm.token_counts import count_text_tokens
 from turnmill.llm.tokenizer_files import tokenizer_path
@@ -132,6 +133,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -146,6 +151,7 @@ QUERIES: dict[str, Query] = {
         op9_piece_encoding,
         op10_substring_dedup,
         op11_centroid_clustering,
+        op12_spot_signatures,
     )
 }
 
