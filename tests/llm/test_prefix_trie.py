@@ -1,0 +1,138 @@
+"""Nodes against a trie of plain dictionaries, and the registered query against its SQL."""
+
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from turnmill.llm.prefix_trie import DoubleArray, prefix_nodes
+from turnmill.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth string, a int"
+COLUMNS = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+
+
+def rebuilt(rows):
+    """{conv_id: [(role, text), ...]}; turns that share a number must be alike or differ in role."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append(((turn is not None, turn), role or "", text or ""))
+    own = {conv: [t[1:] for t in sorted(turns)] for conv, turns in own.items()}
+    made = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        made[conv] = own.get(conv - conv % 100, [])[:h] + turns[h:]
+    return made
+
+
+def walked(rows):
+    made, nodes = rebuilt(rows), {}
+    for conv, turns in made.items():
+        for depth in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:depth]), []).append(conv)
+    children = {}
+    for node in nodes:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(nodes, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[b] for b in below) or 1
+        saved[node] = sum(saved[b] for b in below) + (len(nodes[node]) - 1) * (len(node[-1][1]) if node else 0)
+    found = []
+    for node, members in nodes.items():
+        ends = sorted(conv for conv in members if len(made[conv]) == len(node))
+        found.append(
+            (
+                min(members),
+                len(node),
+                min(nodes[node[:-1]]) if node else None,
+                len(members),
+                len(children.get(node, [])),
+                leaves[node],
+                saved[node],
+                hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+            )
+        )
+    return sorted(found, key=repr)
+
+
+def chats(seed, convs, turns, vocabulary):
+    rng = random.Random(seed)
+    rows = []
+    for conv in rng.sample(range(convs * 3), convs):
+        length = rng.choice([1, 2, 3, turns, rng.randint(1, turns)])
+        for turn in range(length):
+            text = "hot" if turn < 3 and rng.random() < 0.6 else f"t{rng.randrange(vocabulary)}"
+            rows.append((conv, turn, "assistant" if turn % 2 else "user", text))
+    return rows
+
+
+def nodes_of(spark, rows, shard_sequences, partitions=5):
+    df = spark.createDataFrame([(*row, "clash", 1) for row in rows], SCHEMA).repartition(partitions)
+    found = prefix_nodes(df, shard_sequences)
+    assert found.columns == COLUMNS
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def test_double_array_leads_where_a_dictionary_does():
+    rng = np.random.default_rng(4)
+    trie, known, states = DoubleArray(50), {}, [0]
+    for _ in range(300):
+        state = states.pop(rng.integers(len(states)))
+        codes = np.unique(rng.integers(1, 51, rng.integers(1, 30)))
+        trie.add(state, codes)
+        children = trie.step(np.full(len(codes), state), codes)
+        known |= {(state, int(c)): int(s) for c, s in zip(codes, children, strict=True)}
+        states += children.tolist()
+    assert len(set(known.values())) == len(known)
+    assert min(known.values()) > 0
+    asked = rng.integers(0, max(known.values()) + 1, 20_000)
+    codes = rng.integers(1, 51, 20_000)
+    assert trie.step(asked, codes).tolist() == [
+        known.get((s, c), -1) for s, c in zip(asked.tolist(), codes.tolist(), strict=True)
+    ]
+
+
+@pytest.mark.parametrize(
+    ("convs", "turns", "vocabulary", "shard_sequences"),
+    [(60, 4, 2, 1), (150, 9, 3, 2), (150, 9, 3, 5), (300, 12, 40, 3), (300, 12, 2, 4096)],
+)
+def test_nodes_are_those_of_a_plain_trie(spark, convs, turns, vocabulary, shard_sequences):
+    rows = chats(convs + vocabulary, convs, turns, vocabulary)
+    assert nodes_of(spark, rows, shard_sequences) == walked(rows)
+
+
+def test_nulls_ties_copies_a_long_conversation_and_many_equal_ones(spark):
+    rows = [(1000 + i, t, "user", f"same {t}") for i in range(90) for t in range(7)]
+    rows += [(5, t, "user", f"long {t}") for t in range(400)] + [(7, t, "user", f"long {t}") for t in range(300)]
+    rows += [(8, None, None, None), (8, 0, "user", ""), (8, 0, "assistant", "x"), (8, 0, "assistant", "x")]
+    rows += [(9, 0, "", ""), (None, 0, "user", "nobody's"), (11, 3, "é", "😀" * 5), (200, 0, "user", "a\x00b")]
+    rows += [(300, 0, "user", "w " * 100_000), (304, 0, "user", "w " * 100_000)]
+    expected = walked(rows)
+    for shard_sequences in (2, 4096):
+        assert nodes_of(spark, rows, shard_sequences) == expected
+
+
+def test_no_rows_give_none_and_one_gives_its_nodes(spark):
+    assert nodes_of(spark, [], 10) == []
+    assert nodes_of(spark, [(None, 0, "user", "x")], 10) == []
+    assert nodes_of(spark, [(1, 0, "user", "x")], 1) == walked([(1, 0, "user", "x")])
+
+
+def test_shards_of_no_sequence_are_refused(spark):
+    with pytest.raises(ValueError, match="shard_sequences"):
+        prefix_nodes(spark.createDataFrame([], SCHEMA), 0)
+
+
+def test_query_matches_sql_and_a_plain_trie(spark, sf_dir):
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
+    result = QUERIES["op13_prefix_trie"](spark, sf_dir)
+    rows = sorted(map(tuple, result.select(*COLUMNS).collect()), key=repr)
+    assert rows == sorted(duck.sql(ORACLE_SQL["op13_prefix_trie"]).select(*COLUMNS).fetchall(), key=repr)
+    assert rows == walked(duck.sql("SELECT conv_id, turn, role, text FROM conversations").fetchall())

@@ -1,6 +1,7 @@
 """SQL for those registered queries of this package that SQL can express."""
 
 from turnmill.llm.centroid_clustering import CLUSTERS, COMPONENTS, ROUNDS, SCALE, SEED
+from turnmill.llm.prefix_trie import BLOCK, HEADS
 
 
 def clustering_sql() -> str:
@@ -42,4 +43,64 @@ def clustering_sql() -> str:
         FROM a{ROUNDS} JOIN c{ROUNDS} c USING (k)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op11_centroid_clustering": clustering_sql()}
+def _crc32(text: str) -> str:
+    """The reversed polynomial, bit by bit, over the characters of an ASCII text."""
+    byte = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    bits = "list_reduce(range(8), lambda r, i: xor(r >> 1, 3988292384 * (r & 1)), xor(crc, one))"
+    return f"xor(list_reduce({byte}, lambda crc, one: {bits}, 4294967295::BIGINT), 4294967295)"
+
+
+def prefix_sql() -> str:
+    """Each prefix as a digest of its turns; a node's subtree through its members' prefixes."""
+    return f"""WITH t AS MATERIALIZED (
+            SELECT conv_id, row_number() OVER (
+                       PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place,
+                   coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        c AS MATERIALIZED (
+            SELECT conv_id, conv_id - conv_id % {BLOCK} AS block,
+                   {_crc32("conv_id::VARCHAR")} % {HEADS} AS h
+            FROM (SELECT DISTINCT conv_id FROM t)),
+        turns AS MATERIALIZED (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth,
+                   md5(md5(role) || md5(text)) AS turn, length(text) AS chars
+            FROM (SELECT c.conv_id, 0 AS own, place, role, text
+                  FROM c JOIN t ON t.conv_id = c.block AND place < h
+                  UNION ALL
+                  SELECT c.conv_id, 1, place, role, text
+                  FROM c JOIN t ON t.conv_id = c.conv_id AND place >= h)),
+        paths AS MATERIALIZED (
+            SELECT conv_id, depth, chars,
+                   md5(string_agg(turn, '') OVER (
+                       PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node
+            FROM turns
+            UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+        nodes AS MATERIALIZED (
+            SELECT p.node, any_value(p.depth) AS depth, min(p.conv_id) AS conv_id,
+                   count(*) AS n_convs, any_value(p.chars) AS chars,
+                   sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id)
+                                   FILTER (p.depth = l.depth), '')) AS ends_sha256
+            FROM paths p JOIN (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id) l
+                 USING (conv_id)
+            GROUP BY p.node),
+        above AS MATERIALIZED (
+            SELECT n.node, p.node AS parent, q.conv_id AS parent_conv_id
+            FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+                 JOIN nodes q ON q.node = p.node),
+        children AS (SELECT parent AS node, count(*) AS n_children FROM above GROUP BY parent),
+        sums AS (
+            SELECT p.node, count(*) FILTER (k.node IS NULL) AS n_leaves,
+                   sum((n.n_convs - 1) * n.chars) AS saved_tokens
+            FROM nodes n LEFT JOIN children k ON k.node = n.node
+                 JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+            GROUP BY p.node)
+        SELECT conv_id, depth, parent_conv_id, n_convs,
+               coalesce(n_children, 0) AS n_children, n_leaves,
+               saved_tokens::BIGINT AS saved_tokens, ends_sha256
+        FROM nodes JOIN sums USING (node) LEFT JOIN children USING (node) LEFT JOIN above USING (node)"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_centroid_clustering": clustering_sql(),
+    "op13_prefix_trie": prefix_sql(),
+}

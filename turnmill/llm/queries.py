@@ -14,6 +14,7 @@ from turnmill.llm.jaccard_join import jaccard_components
 from turnmill.llm.oracle import ORACLE_SQL
 from turnmill.llm.personal_data import KINDS, find_personal_data, span_text
 from turnmill.llm.pieces import piece_digests, read_pieces
+from turnmill.llm.prefix_trie import prefix_nodes
 from turnmill.llm.spot_signatures import fingerprint_documents
 from turnmill.llm.substring_dedup import repeated_passages
 from turnmill.llm.token_counts import count_text_tokens
@@ -137,6 +138,10 @@ def op12_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_nodes(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -152,6 +157,7 @@ QUERIES: dict[str, Query] = {
         op10_substring_dedup,
         op11_centroid_clustering,
         op12_spot_signatures,
+        op13_prefix_trie,
     )
 }
 
