@@ -3,6 +3,7 @@
 from turnmill.operators.batches import plan_batches
 from turnmill.operators.conversations import assemble_messages
 from turnmill.operators.custom import render_with
+from turnmill.operators.permutation import batches_by_place, number_rows, rows_at_steps
 from turnmill.operators.replies import validate_replies, verdict_summary
 from turnmill.operators.runs import (
     benchmark_rollup,
@@ -10,14 +11,19 @@ from turnmill.operators.runs import (
     run_summary,
     with_memory_percent,
 )
+from turnmill.operators.scans import segmented_scan
 
 __all__ = [
     "assemble_messages",
+    "batches_by_place",
     "benchmark_rollup",
     "count_by_dataset",
+    "number_rows",
     "plan_batches",
     "render_with",
+    "rows_at_steps",
     "run_summary",
+    "segmented_scan",
     "validate_replies",
     "verdict_summary",
     "with_memory_percent",

@@ -1,5 +1,7 @@
 """The registered queries in plain SQL, to check their results with another engine."""
 
+from turnmill.operators.batches import SEED
+from turnmill.operators.permutation import MULTIPLIER, PRIME, ROUNDS, round_keys
 from turnmill.plans.queries import REPLY_TERMS, SYSTEM_TEXT
 
 # All whitespace Python knows, for use inside [...].
@@ -76,11 +78,44 @@ _DAMAGED = """(
            CASE WHEN conv_id % 11 = 3 AND turn = 1 THEN NULL ELSE text END AS text
     FROM conversations)"""
 
+
+
+def _places(numbered: str) -> str:
+    """Every row of (row, n, ...) with its place in each of three epochs, walked round by round."""
+    names = ", ".join(f"k{i}" for i in range(1, ROUNDS + 1))
+    keys = ", ".join(f"({epoch}, {', '.join(map(str, round_keys(SEED, epoch)))})" for epoch in range(3))
+    rounds = ["cell // b AS r_1", "cell % b AS r0"]
+    for i in range(1, ROUNDS + 1):
+        left = f"r{i - 2}" if i > 1 else "r_1"
+        rounds.append(f"(r{i - 1} + k{i}) % {PRIME} AS m{i}")
+        rounds.append(
+            f"({left} + (m{i} * m{i} % {PRIME} * {MULTIPLIER} + k{i}) % {PRIME}) % {'ab'[1 - i % 2]} AS r{i}"
+        )
+    return f"""(
+        WITH RECURSIVE numbered AS ({numbered}),
+        keys(epoch, {names}) AS (VALUES {keys}),
+        walk AS (
+            SELECT row, n, epoch, {names}, ceil(sqrt(n))::BIGINT AS a, (n + a - 1) // a AS b,
+                   row AS cell, 0 AS walked
+            FROM numbered, keys
+            UNION ALL
+            SELECT row, n, epoch, {names}, a, b, r{ROUNDS - 1} * b + r{ROUNDS}, walked + 1
+            FROM (SELECT *, {", ".join(rounds)} FROM walk WHERE walked = 0 OR cell >= n))
+        SELECT numbered.*, epoch, cell AS pos, cell // 2 AS micro_batch, cell // 8 AS step,
+               numbered.n AS epoch_rows
+        FROM walk JOIN numbered USING (row) WHERE walked > 0 AND cell < walk.n)"""
+
+
+_IDS = """SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS row, count(*) OVER () AS n
+          FROM (SELECT DISTINCT conv_id FROM conversations)"""
+
 ORACLE_SQL: dict[str, str] = {
     "assemble_messages": _per_conversation(
         "count(*) AS n_messages, string_agg(role, '>' ORDER BY turn) AS roles, "
         "string_agg(text, '|' ORDER BY turn) AS contents"
     ),
+    "batches_at_step": f"""
+        SELECT conv_id, row, epoch, pos, micro_batch, step, epoch_rows FROM {_places(_IDS)}""",
     "benchmark_rollup": f"""
         SELECT count(*) AS n_runs, avg(gen_s) AS mean_s, avg(tokens) AS mean_tokens,
                sum(tokens)::DOUBLE / sum(gen_s) AS tokens_per_s

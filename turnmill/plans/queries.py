@@ -28,8 +28,10 @@ from turnmill.functions import (
 )
 from turnmill.operators import (
     assemble_messages,
+    batches_by_place,
     benchmark_rollup,
     count_by_dataset,
+    number_rows,
     plan_batches,
     render_with,
     run_summary,
@@ -250,6 +252,12 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_batches(turns(spark, sf_dir).select("conv_id").distinct(), "conv_id")
 
 
+def batches_at_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = turns(spark, sf_dir).select("conv_id").distinct()
+    numbered = number_rows(ids, ["conv_id"])
+    return batches_by_place(numbered, numbered.count())
+
+
 def short_training_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_text(turns(spark, sf_dir), max_tokens=100)
 
@@ -265,6 +273,7 @@ def message_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "assemble_messages": assembled,
+    "batches_at_step": batches_at_step,
     "benchmark_rollup": run_rollup,
     "completion_text": completion_texts,
     "concat_datasets": concatenated,

@@ -2,7 +2,14 @@
 
 from turnmill.sources.conversations import read_conversations
 from turnmill.sources.datasets import concat_datasets
+from turnmill.sources.numbered import read_numbered
 from turnmill.sources.prompts import sample_prompts
 from turnmill.sources.training_text import write_training_text
 
-__all__ = ["concat_datasets", "read_conversations", "sample_prompts", "write_training_text"]
+__all__ = [
+    "concat_datasets",
+    "read_conversations",
+    "read_numbered",
+    "sample_prompts",
+    "write_training_text",
+]
