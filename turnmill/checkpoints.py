@@ -24,6 +24,12 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(configured)
 
 
+def new_table_path(spark: SparkSession) -> str:
+    """A path of its own in the checkpoint folder."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write a table to the checkpoint folder and read it back.
 
@@ -31,7 +37,6 @@ def store(df: DataFrame) -> DataFrame:
     ids without the texts next to them.
     """
     spark = df.sparkSession
-    use_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
+    path = new_table_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,10 +5,14 @@ from turnmill.functions.render import (
     is_renderable,
     make_messages,
     message_at,
+    message_at_part,
     render,
     render_chatml,
+    render_chatml_part,
     render_generation_prompt,
+    render_part,
     render_plain,
+    render_plain_part,
     render_prompt,
 )
 from turnmill.functions.rules import (
@@ -38,13 +42,17 @@ __all__ = [
     "is_renderable",
     "make_messages",
     "message_at",
+    "message_at_part",
     "parse_completion",
     "preview",
     "py_strip",
     "render",
     "render_chatml",
+    "render_chatml_part",
     "render_generation_prompt",
+    "render_part",
     "render_plain",
+    "render_plain_part",
     "render_prompt",
     "reply_or_error",
     "strip_prompt",

@@ -19,6 +19,13 @@ DEFAULT_ROLE = "user"
 
 GENERATION_TAIL = f"{TURN_START}assistant\n"
 
+# What a part of a conversation carries of the whole: the place of its first message, all messages, those
+# shown in the plain form before the part, and what holds for the whole conversation.
+FACTS = (
+    "STRUCT<first: BIGINT, n_messages: BIGINT, shown_before: BIGINT, "
+    "renderable: BOOLEAN, opens_with_system: BOOLEAN>"
+)
+
 
 def _role(message: Column) -> Column:
     return F.coalesce(message["role"], F.lit(DEFAULT_ROLE))
@@ -43,9 +50,15 @@ def render_chatml(messages: ColumnOrName, default_system: str | None = None) ->
     body = F.array_join(F.transform(messages, lambda m: _chatml_turn(_role(m), _content(m))), "")
     if default_system is None:
         return body
-    opens_with_system = F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
-    preamble = _chatml_turn(F.lit("system"), F.lit(default_system))
-    return F.when(opens_with_system, body).otherwise(F.concat(preamble, body))
+    return F.when(_opens_with_system(messages), body).otherwise(F.concat(_preamble(default_system), body))
+
+
+def _opens_with_system(messages: Column) -> Column:
+    return F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
+
+
+def _preamble(default_system: str) -> Column:
+    return _chatml_turn(F.lit("system"), F.lit(default_system))
 
 
 def render_generation_prompt(messages: ColumnOrName, default_system: str | None = None) -> Column:
@@ -125,3 +138,59 @@ def make_messages(system: ColumnOrName, user: ColumnOrName) -> Column:
 def message_at(messages: ColumnOrName, position: int) -> Column:
     """Content of the message at a position, counted from 0; NULL past the end."""
     return F.get(as_column(messages), F.lit(position))["content"]
+
+
+def facts_of_whole(messages: ColumnOrName) -> Column:
+    """FACTS of a conversation that is one part."""
+    messages = as_column(messages)
+    zero = F.lit(0).cast("bigint")
+    return F.struct(
+        zero.alias("first"),
+        F.size(messages).cast("bigint").alias("n_messages"),
+        zero.alias("shown_before"),
+        is_renderable(messages).alias("renderable"),
+        _opens_with_system(messages).alias("opens_with_system"),
+    )
+
+
+def render_chatml_part(
+    messages: ColumnOrName, facts: ColumnOrName, default_system: str | None = None
+) -> Column:
+    """A part of what `render_chatml` gives for the whole conversation."""
+    body, facts = render_chatml(messages), as_column(facts)
+    if default_system is None:
+        return body
+    opens = (facts["first"] == 0) & ~facts["opens_with_system"]
+    return F.when(opens, F.concat(_preamble(default_system), body)).otherwise(body)
+
+
+def render_plain_part(messages: ColumnOrName, facts: ColumnOrName) -> Column:
+    """A part of what `render_plain` gives for the whole conversation: with the separator in front if a
+    message was shown before the part and one is shown in it."""
+    messages = as_column(messages)
+    shows = F.exists(messages, lambda m: is_rendered_role(m["role"]))
+    goes_on = (as_column(facts)["shown_before"] > 0) & shows
+    text = render_plain(messages)
+    return F.when(goes_on, F.concat(F.lit(PLAIN_SEPARATOR), text)).otherwise(text)
+
+
+def render_part(
+    messages: ColumnOrName, facts: ColumnOrName, default_system: str | None = None
+) -> Column:
+    """STRUCT<text, used_fallback>: a part of what `render` gives for the whole conversation.
+
+    Parts' texts, put together in order, are the whole's; the flag is the whole's in each.
+    """
+    renderable = as_column(facts)["renderable"]
+    return F.struct(
+        F.when(renderable, render_chatml_part(messages, facts, default_system))
+        .otherwise(render_plain_part(messages, facts))
+        .alias("text"),
+        (~renderable).alias("used_fallback"),
+    )
+
+
+def message_at_part(messages: ColumnOrName, facts: ColumnOrName, position: int) -> Column:
+    """Content of the message at a position of the whole conversation, in the part that holds it; else NULL."""
+    at = (F.lit(position).cast("bigint") - as_column(facts)["first"]).cast("int")
+    return F.when(at >= 0, F.get(as_column(messages), at)["content"])

@@ -1,7 +1,7 @@
 """Operators over whole tables: they take DataFrames and give DataFrames."""
 
 from turnmill.operators.batches import plan_batches
-from turnmill.operators.conversations import assemble_messages
+from turnmill.operators.conversations import assemble_messages, conversation_parts
 from turnmill.operators.custom import render_with
 from turnmill.operators.permutation import batches_by_place, number_rows, rows_at_steps
 from turnmill.operators.replies import validate_replies, verdict_summary
@@ -17,6 +17,7 @@ __all__ = [
     "assemble_messages",
     "batches_by_place",
     "benchmark_rollup",
+    "conversation_parts",
     "count_by_dataset",
     "number_rows",
     "plan_batches",
