@@ -30,7 +30,16 @@ def final(plan):
 
 
 # Callers' functions, term search and numbering by arithmetic; all else stays in the JVM.
-RUN_PYTHON = {"render_with", "batches_at_step"}
+RUN_PYTHON = {
+    "batches_at_step",
+    "render_with",
+    "render_with_failures",
+    "rows_by_place",
+    "term_hits",
+    "training_rows_as_set",
+    "training_rows_by_place",
+    "training_text_by_tokenizer",
+}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

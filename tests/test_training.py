@@ -79,12 +79,11 @@ def test_from_json_lines_to_training_rows(spark, tmp_path, monkeypatch, shard):
 
     texts = {}
     ids = []
-    for messages in [*made, None]:
+    # Lines without messages are no conversations.
+    for messages in [m for m in made if m is not None]:
         shown = complete(messages)
-        text = None
-        if messages is not None:
-            text = cut(chatml(messages) if shown else plain(messages), 6)
-        ids.append("" if text is None else hashlib.sha256(text.encode()).hexdigest())
+        text = cut(chatml(messages) if shown else plain(messages), 6)
+        ids.append(hashlib.sha256(text.encode()).hexdigest())
         texts[ids[-1]] = (text, not shown)
 
     chats = read_conversations(spark, str(tmp_path / "chats.jsonl"))

@@ -1,5 +1,8 @@
 """Text helpers for stored model replies."""
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,20 +34,51 @@ def preview(text: ColumnOrName, n: int) -> Column:
     return F.concat(F.substring(as_column(text), 1, n), F.lit(ELLIPSIS))
 
 
-def strip_prompt(output: ColumnOrName, prompt: ColumnOrName) -> Column:
+def strip_prompt(
+    output: ColumnOrName, prompt: ColumnOrName, marks: Sequence[str] = ()
+) -> Column:
     """STRUCT<text, stripped>: the output without the prompt it starts with.
 
-    An output that does not start with the prompt is left as it is.
+    An output that does not start with the prompt is left as it is. `marks` are control strings, such as
+    the framing of ChatML, that decoding may have left out: each place of one in the prompt may hold the mark or
+    nothing in the output. All else must be alike, character by character.
     """
     output, prompt = as_column(output), as_column(prompt)
-    stripped = F.coalesce(F.startswith(output, prompt), F.lit(False))
-    rest = F.substring(output, F.length(prompt) + 1, F.length(output))
+    if marks:
+        end = _aligned_end(output, prompt, marks)
+        stripped = F.coalesce(end >= 0, F.lit(False))
+        rest = F.substring(output, (end + 1).cast("int"), F.length(output))
+    else:
+        stripped = F.coalesce(F.startswith(output, prompt), F.lit(False))
+        rest = F.substring(output, F.length(prompt) + 1, F.length(output))
     return F.struct(
         F.when(stripped, rest).otherwise(output).alias("text"),
         stripped.alias("stripped"),
     )
 
 
+def _aligned_end(output: Column, prompt: Column, marks: Sequence[str]) -> Column:
+    """How many characters of the output the prompt takes; -1 if the output does not start with it.
+
+    The prompt is a text, then a mark and a text as often as it has marks. No text holds a mark, so a
+    mark met in the output where one may be is that mark, and one walk decides.
+    """
+    # Longer marks first, so that none hides one that it begins.
+    any_mark = "|".join(re.escape(mark) for mark in sorted(marks, key=len, reverse=True))
+    texts = F.split(prompt, any_mark, -1)
+    found = F.concat(F.array(F.lit("")), F.regexp_extract_all(prompt, F.lit(f"({any_mark})"), 1))
+    pieces = F.arrays_zip(found.alias("mark"), texts.alias("text"))
+
+    def step(at: Column, piece: Column) -> Column:
+        def taken(from_: Column, text: Column) -> Column:
+            return F.substring(output, (from_ + 1).cast("int"), F.length(text)) == text
+
+        after_mark = at + F.when(taken(at, piece["mark"]), F.length(piece["mark"])).otherwise(0)
+        return F.when((at >= 0) & taken(after_mark, piece["text"]), after_mark + F.length(piece["text"])).otherwise(-1)
+
+    return F.when(output.isNotNull(), F.aggregate(pieces, F.lit(0), step))
+
+
 def completion_text(choices: ColumnOrName) -> Column:
     """Text of the first choice; NULL when there is none."""
     return F.get(as_column(choices), F.lit(0))["text"]

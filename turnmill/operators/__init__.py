@@ -2,7 +2,7 @@
 
 from turnmill.operators.batches import plan_batches
 from turnmill.operators.conversations import assemble_messages, conversation_parts
-from turnmill.operators.custom import render_with
+from turnmill.operators.custom import render_or_fall_back, render_with
 from turnmill.operators.permutation import batches_by_place, number_rows, rows_at_steps
 from turnmill.operators.replies import validate_replies, verdict_summary
 from turnmill.operators.runs import (
@@ -12,6 +12,7 @@ from turnmill.operators.runs import (
     with_memory_percent,
 )
 from turnmill.operators.scans import segmented_scan
+from turnmill.operators.terms import term_hits
 
 __all__ = [
     "assemble_messages",
@@ -21,10 +22,12 @@ __all__ = [
     "count_by_dataset",
     "number_rows",
     "plan_batches",
+    "render_or_fall_back",
     "render_with",
     "rows_at_steps",
     "run_summary",
     "segmented_scan",
+    "term_hits",
     "validate_replies",
     "verdict_summary",
     "with_memory_percent",

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from turnmill.functions.rules import (
     DEFAULT_TERMS,
+    GENERATION_LIMIT_S,
+    LOAD_LIMIT_S,
+    MAX_WORDS,
+    MIN_WORDS,
     has_any_term,
     has_sentences,
     in_length_band,
@@ -17,7 +21,13 @@ from turnmill.functions.rules import (
 RULES = ("has_terms", "good_length", "has_sentences", "in_time")
 
 
-def validate_replies(df: DataFrame, terms: Sequence[str] = DEFAULT_TERMS) -> DataFrame:
+def validate_replies(
+    df: DataFrame,
+    terms: Sequence[str] = DEFAULT_TERMS,
+    words: tuple[int, int] = (MIN_WORDS, MAX_WORDS),
+    load_limit_s: float = LOAD_LIMIT_S,
+    generation_limit_s: float = GENERATION_LIMIT_S,
+) -> DataFrame:
     """Add the outcome of each quality rule and of all together.
 
     Needs `reply`, `load_s` and `gen_s`. Adds `word_count`, one flag per rule
@@ -28,18 +38,18 @@ def validate_replies(df: DataFrame, terms: Sequence[str] = DEFAULT_TERMS) -> Dat
             "word_count": word_count("reply"),
             "has_terms": has_any_term("reply", terms),
             "has_sentences": has_sentences("reply"),
-            "in_time": within_latency("load_s", "gen_s"),
+            "in_time": within_latency("load_s", "gen_s", load_limit_s, generation_limit_s),
         }
-    ).withColumn("good_length", in_length_band("word_count"))
+    ).withColumn("good_length", in_length_band("word_count", *words))
     all_passed = F.col(RULES[0])
     for rule in RULES[1:]:
         all_passed = all_passed & F.col(rule)
     return checked.withColumn("is_valid", all_passed)
 
 
-def verdict_summary(flags: DataFrame) -> DataFrame:
-    """How many replies there are and how many pass each rule."""
-    return flags.agg(
+def verdict_summary(flags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many replies there are and how many pass each rule, in all or per group."""
+    return flags.groupBy(*by).agg(
         F.count("*").alias("n_replies"),
         *[F.count_if(F.col(rule)).alias(f"n_{rule}") for rule in (*RULES, "is_valid")],
     )

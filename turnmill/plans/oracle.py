@@ -2,7 +2,7 @@
 
 from turnmill.operators.batches import SEED
 from turnmill.operators.permutation import MULTIPLIER, PRIME, ROUNDS, round_keys
-from turnmill.plans.queries import REPLY_TERMS, SYSTEM_TEXT
+from turnmill.plans.queries import N_TERMS, REPLY_TERMS, SYSTEM_TEXT
 
 # All whitespace Python knows, for use inside [...].
 _SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -106,6 +106,46 @@ def _places(numbered: str) -> str:
         FROM walk JOIN numbered USING (row) WHERE walked > 0 AND cell < walk.n)"""
 
 
+def _together(parts: str) -> str:
+    """Whole conversations, with the number of parts they come in."""
+    plain = _plain("coalesce(role, 'user')", "coalesce(text, '')")
+    return f"""
+        SELECT conv_id, count(DISTINCT part) AS n_parts,
+               CASE WHEN complete THEN chatml ELSE plain_text END AS text,
+               plain_text, NOT complete AS used_fallback, content
+        FROM (
+            SELECT conv_id, unnest(parts) AS part, complete, chatml, content,
+                   coalesce(plain, '') AS plain_text
+            FROM (SELECT conv_id, list({parts}) AS parts,
+                         bool_and(coalesce(role IN ('system', 'user', 'assistant')
+                                           AND text IS NOT NULL, false)) AS complete,
+                         {_CHATML_TEXT} AS chatml,
+                         string_agg({plain}, chr(10) || chr(10) ORDER BY turn)
+                             FILTER (coalesce(role, 'user') IN ('system', 'user', 'assistant')) AS plain,
+                         max(CASE WHEN turn = 4 THEN text END) AS content
+                  FROM (SELECT *, sum(size) OVER earlier AS bytes_before,
+                               sum((size > 750)::INTEGER) OVER earlier AS alone_before
+                        FROM (SELECT *, strlen(coalesce(role, '')) + strlen(coalesce(text, '')) AS size
+                              FROM {_DAMAGED})
+                        WINDOW earlier AS (PARTITION BY conv_id ORDER BY turn
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                  GROUP BY conv_id))
+        GROUP BY ALL"""
+
+
+_BY_BYTES = """CASE WHEN total <= 1500 THEN 0 ELSE
+    coalesce(bytes_before, 0) // 750 + 2 * coalesce(alone_before, 0) + (size > 750)::INTEGER END"""
+
+_SYSTEM_TURN = f"'system' || chr(10) || '{SYSTEM_TEXT}'"
+_BARE = f"{_SYSTEM_TURN} || chr(10) || 'user' || chr(10) || {{}} || chr(10) || 'assistant' || chr(10)"
+
+_RUNS = f"""(
+    SELECT conv_id % 3 AS model, (conv_id % 40)::DOUBLE AS load_s, (turn * 2)::DOUBLE AS gen_s,
+           turn % 4 IN (1, 3) AND conv_id % 13 <> 5 AS stripped,
+           CASE WHEN conv_id % 13 <> 5 THEN
+               regexp_replace(text, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') END AS reply
+    FROM conversations WHERE role = 'assistant')"""
+
 _IDS = """SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS row, count(*) OVER () AS n
           FROM (SELECT DISTINCT conv_id FROM conversations)"""
 
@@ -237,4 +277,87 @@ ORACLE_SQL: dict[str, str] = {
                count(*) FILTER (in_time) AS n_in_time,
                count(*) FILTER (is_valid) AS n_is_valid
         FROM {_FLAGS}""",
+    "conversation_parts_by_bytes": _together(_BY_BYTES).replace(
+        "sum(size) OVER earlier AS bytes_before",
+        "sum(size) OVER earlier AS bytes_before, sum(size) OVER (PARTITION BY conv_id) AS total",
+    ),
+    "evaluate_completions": f"""
+        SELECT model, count(*) AS n_replies, count(*) FILTER (has_terms) AS n_has_terms,
+               count(*) FILTER (good_length) AS n_good_length,
+               count(*) FILTER (has_sentences) AS n_has_sentences,
+               count(*) FILTER (in_time) AS n_in_time,
+               count(*) FILTER (has_terms AND good_length AND has_sentences AND in_time) AS n_is_valid,
+               count(*) FILTER (stripped) AS n_stripped,
+               avg(gen_s) FILTER (tokens IS NOT NULL) AS mean_s, avg(tokens) AS mean_tokens,
+               CASE WHEN sum(gen_s) FILTER (tokens IS NOT NULL) <> 0 THEN
+                   sum(tokens)::DOUBLE / sum(gen_s) FILTER (tokens IS NOT NULL) END AS tokens_per_s
+        FROM (SELECT *, coalesce(regexp_matches(lower(reply), '{"|".join(REPLY_TERMS)}'), false) AS has_terms,
+                     coalesce(len(regexp_extract_all(reply, '[^{_SPACE}]+')) BETWEEN 10 AND 300, false)
+                         AS good_length,
+                     coalesce(contains(reply, '.'), false) AS has_sentences,
+                     load_s < 35 AND gen_s < 14 AS in_time,
+                     len(regexp_extract_all(reply, '{_TOKENS}')) AS tokens
+              FROM {_RUNS})
+        GROUP BY model""",
+    "parse_conversations": """
+        SELECT *, count(*) FILTER (reject_reason IS NOT NULL) OVER () AS n_rejects
+        FROM (SELECT conv_id,
+                     CASE WHEN conv_id % 10 IN (1, 2) THEN 'not json'
+                          WHEN conv_id % 10 IN (3, 5) THEN 'messages are not a list of objects'
+                          WHEN conv_id % 10 = 4 THEN 'no messages' END AS reject_reason,
+                     CASE WHEN reject_reason IS NULL THEN count(*) END AS n_messages,
+                     CASE WHEN reject_reason IS NULL THEN string_agg(text, '|' ORDER BY turn) END AS contents
+              FROM conversations WHERE conv_id % 10 <> 6 GROUP BY conv_id)""",
+    "render_generation_prompt": _per_conversation(
+        f"{_CHATML_TEXT} || '<|im_start|>assistant' || chr(10) AS prompt"
+    ),
+    "render_parts": _together("turn // 3"),
+    "render_with_failures": f"""
+        SELECT conv_id, 0::BIGINT AS part, conv_id % 7 = 0 AS used_fallback,
+               CASE WHEN conv_id % 7 = 0
+                    THEN string_agg({_plain('role', 'text')}, chr(10) || chr(10) ORDER BY turn)
+                    ELSE string_agg(text, chr(10) ORDER BY turn) END AS text
+        FROM conversations GROUP BY conv_id""",
+    "rows_by_place": f"""
+        SELECT doc_id, row, epoch, pos, micro_batch, step, epoch_rows
+        FROM {_places("SELECT doc_id, row_number() OVER () - 1 AS row, count(*) OVER () AS n FROM documents")}""",
+    "strip_prompt_without_marks": f"""
+        SELECT conv_id, turn, turn % 4 < 3 AS stripped,
+               CASE WHEN turn % 4 < 3 THEN text
+                    ELSE 'System' || chr(10) || {_BARE.format("text")} || text END AS text
+        FROM conversations""",
+    "term_hits": f"""
+        WITH terms AS (
+            SELECT term FROM (
+                SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{4,12}}')) AS term
+                FROM documents) QUALIFY row_number() OVER (ORDER BY md5(term), term) <= {N_TERMS})
+        SELECT doc_id, count(term) AS n_terms,
+               sha256(coalesce(string_agg(term, ',' ORDER BY term), '')) AS terms_sha256
+        FROM documents LEFT JOIN terms ON contains(lower(text), term) GROUP BY doc_id""",
+    "training_files": f"""
+        SELECT epoch, (pos * 7 // epoch_rows)::INTEGER AS file, min(pos) AS first_pos,
+               max(pos) AS last_pos, count(*) AS n_rows, count(*) AS read_rows,
+               arg_min(conv_id, pos) AS first_conv, arg_max(conv_id, pos) AS last_conv
+        FROM {_PLAN} GROUP BY epoch, file""",
+    "training_rows_as_set": f"""
+        SELECT epoch, pos, conv_id, pos // 4 AS micro_batch, pos // 8 AS step, epoch_rows,
+               substring(CASE WHEN opening = 'system' THEN '' ELSE
+                   {_chatml("'system'", f"'{SYSTEM_TEXT}'")} END || chatml, 1, 400) AS text,
+               false AS used_fallback
+        FROM {_PLAN} JOIN (SELECT conv_id, {_CHATML_TEXT} AS chatml, arg_min(role, turn) AS opening
+                           FROM conversations GROUP BY conv_id) USING (conv_id)
+        WHERE epoch < 2""",
+    "training_rows_by_place": f"""
+        SELECT {_cut("chatml", 2048)} AS text, false AS used_fallback, row, epoch, pos, micro_batch,
+               step, epoch_rows
+        FROM {_places(f"SELECT {_chatml("'user'", 'text')} AS chatml, row_number() OVER () - 1 AS row, "
+                      "count(*) OVER () AS n FROM documents")}""",
+    "training_text_by_tokenizer": f"""
+        SELECT conv_id, substring({_CHATML_TEXT}, 1, 400) AS text, false AS used_fallback
+        FROM conversations GROUP BY conv_id""",
+    "written_run_summary": """
+        SELECT count(*) AS dataset_size, 2::INTEGER AS batch_size,
+               4::INTEGER AS gradient_accumulation, 0.0002::DOUBLE AS learning_rate,
+               3::INTEGER AS num_train_epochs, 8::INTEGER AS effective_batch_size
+        FROM (SELECT conv_id FROM conversations UNION ALL SELECT doc_id FROM documents)""",
 }
