@@ -1,0 +1,73 @@
+"""Stored completions to verdicts: one run at a time against the plan."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from helpers import executed_plan
+
+from turnmill.plans import evaluate_completions
+from turnmill.plans.evaluation import judge_completions
+
+SCHEMA = (
+    "model string, completion string, prompt string, load_s double, started_at timestamp, ended_at timestamp, "
+    "_raw2 string"
+)
+START = datetime(2024, 1, 1)
+
+
+def run(model, text, prompt="P: ", load_s=1.0, seconds=2.0):
+    stored = text if text is None or text.startswith("!") else json.dumps({"choices": [{"text": text}]})
+    ended = None if seconds is None else START + timedelta(seconds=seconds)
+    return model, stored, prompt, load_s, START, ended, "x"
+
+
+@pytest.fixture(scope="module")
+def runs(spark):
+    rows = [
+        run("a", "P: the market " + "word " * 20 + "."),
+        run("a", "the market " + "word " * 20 + ".", seconds=12.0),
+        run("a", "P:  \n"),
+        run("b", "!broken", seconds=3.0),
+        run("b", None),
+        run("b", "no prompt given.", prompt=None, load_s=None),
+        run(None, "P: a b", seconds=0.0),
+        run(None, "P: a b", seconds=None),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_each_run_is_judged(runs):
+    judged = judge_completions(runs).drop("_raw2").collect()
+    replies = [r.reply for r in judged]
+    assert replies[0] == "the market " + "word " * 20 + "."
+    assert replies[2:6] == ["", None, None, "no prompt given."]
+    assert [r.stripped for r in judged] == [True, False, True, False, False, False, True, True]
+    assert [r.tokens for r in judged] == [23, 23, 0, None, None, 4, 2, 2]
+    assert [r.is_valid for r in judged] == [True, False, False, False, False, False, False, False]
+    assert [r.gen_s for r in judged] == [2.0, 12.0, 2.0, 3.0, 2.0, 2.0, 0.0, None]
+
+
+def test_groups_and_limits(runs):
+    found = {r.model: r for r in evaluate_completions(runs, ["model"]).collect()}
+    assert (found["a"].n_replies, found["a"].n_has_terms, found["a"].n_in_time, found["a"].n_is_valid) == (3, 2, 2, 1)
+    assert found["a"].tokens_per_s == 46 / 16.0
+    assert (found["b"].n_replies, found["b"].mean_tokens, found["b"].n_stripped) == (3, 4.0, 0)
+    assert found[None].tokens_per_s is None
+    (loose,) = evaluate_completions(
+        runs, words=(0, 99), terms=["a"], load_limit_s=99, generation_limit_s=99, spans=lambda t: [(0, 1)] * len(t)
+    ).collect()
+    assert (loose.n_good_length, loose.n_in_time) == (8, 6)
+    assert loose.n_replies == 8
+
+
+def test_no_runs_give_one_row_or_none(runs):
+    nothing = runs.where("false")
+    (row,) = evaluate_completions(nothing).collect()
+    assert (row.n_replies, row.n_is_valid, row.tokens_per_s) == (0, 0, None)
+    assert evaluate_completions(nothing, ["model"]).count() == 0
+
+
+def test_one_exchange(runs):
+    plan = executed_plan(evaluate_completions(runs, ["model"])).split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1

@@ -60,11 +60,12 @@ def strip_prompt(
 def _aligned_end(output: Column, prompt: Column, marks: Sequence[str]) -> Column:
     """How many characters of the output the prompt takes; -1 if the output does not start with it.
 
-    The prompt is a text, then a mark and a text as often as it has marks. No text holds a mark, so a
-    mark met in the output where one may be is that mark, and one walk decides.
+    The prompt is a text, then a mark and a text as often as it has marks. No text holds a mark and no mark
+    begins another one, so to take each mark as soon as the output has it is right, and one walk decides.
     """
-    # Longer marks first, so that none hides one that it begins.
-    any_mark = "|".join(re.escape(mark) for mark in sorted(marks, key=len, reverse=True))
+    if any(a != b and b.startswith(a) for a in marks for b in marks) or "" in marks:
+        raise ValueError("a mark may not be empty or begin another one")
+    any_mark = "|".join(map(re.escape, marks))
     texts = F.split(prompt, any_mark, -1)
     found = F.concat(F.array(F.lit("")), F.regexp_extract_all(prompt, F.lit(f"({any_mark})"), 1))
     pieces = F.arrays_zip(found.alias("mark"), texts.alias("text"))

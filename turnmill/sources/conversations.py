@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from turnmill.checkpoints import new_table_path
 from turnmill.functions.columns import ColumnOrName, as_column
 from turnmill.schema import CONVERSATION_SCHEMA, CORRUPT_RECORD
+from turnmill.sources.observed import observed_counts
 
 # Why a line is no conversation.
 NOT_JSON = "not json"
@@ -95,5 +96,5 @@ def parse_conversations(lines: DataFrame, line: str = "value") -> ParsedLines:
     return ParsedLines(
         table.where("NOT _rejected").drop("_rejected", line, REASON),
         table.where("_rejected").drop("_rejected", "messages"),
-        observed.get,
+        observed_counts(observed, ["lines", "rows", "rejects", "blank", *REASONS]),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnmill.operators.runs import RUN_CONFIG
 from turnmill.sources.datasets import concat_datasets
+from turnmill.sources.observed import observed_counts
 
 
 def write_datasets(datasets: Mapping[str, DataFrame], path: str) -> dict[str, int]:
@@ -19,7 +20,8 @@ def write_datasets(datasets: Mapping[str, DataFrame], path: str) -> dict[str, in
     named = concat_datasets(datasets)
     counts = [F.count_if(F.col("dataset") == name).alias(f"n_{i}") for i, name in enumerate(datasets)]
     named.observe(observed, *counts).write.partitionBy("dataset").parquet(path)
-    return dict(zip(datasets, (observed.get[f"n_{i}"] for i in range(len(datasets))), strict=True))
+    seen = observed_counts(observed, [f"n_{i}" for i in range(len(datasets))])
+    return dict(zip(datasets, seen.values(), strict=True))
 
 
 def dataset_counts_of(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from turnmill.sources.observed import observed_counts
+
 MANIFEST = "manifest"
 ROWS = "rows"
 
@@ -35,8 +37,8 @@ def write_training_files(df: DataFrame, path: str, n_files: int) -> DataFrame:
     Needs `epoch`, `pos` and `epoch_rows` as `plan_batches` and `batches_by_place` give them. Each file lies in a folder
     of its own, named by epoch and a whole number, and holds its rows in `pos` order. Order goes by that
     number, not by names, so there may be any number of files. The manifest is a table under the
-    same path and comes from arithmetic; how many rows of which epochs were written is counted during
-    the write. If they are not what the positions promise, the write fails and leaves no manifest. One shuffle.
+    same path and comes from arithmetic; rows, positions and epochs (which must be consecutive) are
+    observed during the write. If they are not what the positions promise, it fails and leaves no manifest. One shuffle.
     """
     if n_files < 1:
         raise ValueError("n_files must be at least 1")
@@ -47,9 +49,10 @@ def write_training_files(df: DataFrame, path: str, n_files: int) -> DataFrame:
         F.count("*").alias("rows"),
         F.min("epoch_rows").alias("least_rows"),
         F.max("epoch_rows").alias("epoch_rows"),
-        F.collect_set("epoch").alias("epochs"),
         F.min("pos").alias("first"),
         F.max("pos").alias("last"),
+        F.min("epoch").alias("first_epoch"),
+        F.max("epoch").alias("last_epoch"),
     )
     (
         counted.withColumn("file", file)
@@ -58,12 +61,13 @@ def write_training_files(df: DataFrame, path: str, n_files: int) -> DataFrame:
         .write.partitionBy("epoch", "file")
         .parquet(f"{path}/{ROWS}")
     )
-    seen = observed.get
-    epochs, size = sorted(seen["epochs"] or []), seen["epoch_rows"] or 0
-    dense = seen["least_rows"] == seen["epoch_rows"] and (seen["first"] or 0) == 0
-    if not dense or (seen["rows"] and seen["last"] != size - 1) or seen["rows"] != size * len(epochs):
+    names = ["rows", "least_rows", "epoch_rows", "first", "last", "first_epoch", "last_epoch"]
+    seen = observed_counts(observed, names)
+    size, epochs = seen["epoch_rows"], range(seen["first_epoch"], seen["last_epoch"] + 1)
+    dense = seen["least_rows"] == size and seen["first"] == 0 and seen["last"] == max(size - 1, 0)
+    if not dense or seen["rows"] != size * len(epochs):
         raise ValueError(f"positions are not dense: {seen}")
-    ranges = file_ranges(spark, epochs or [0], size, n_files)
+    ranges = file_ranges(spark, list(epochs), size, n_files)
     ranges.repartition(1).sortWithinPartitions("epoch", "file").write.parquet(f"{path}/{MANIFEST}")
     return read_manifest(spark, path)
 
