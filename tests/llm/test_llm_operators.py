@@ -483,3 +483,32 @@ def test_links_between_many_near_copies_are_whole(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {row.doc_id: row.component_id for row in jaccard_components(df).collect()}
     assert found == {i: root(i) for i in range(len(texts))}
+
+
+def test_two_near_groups_that_overlap_are_not_linked(spark):
+    """Half the words are common to both groups: all pairs across meet in lists, and none is linked."""
+    rng = random.Random(17)
+    shared = [f"s{i}" for i in range(70)]
+    texts = []
+    for group in "ab":
+        base = [*shared, *[f"{group}{i}" for i in range(70)]]
+        for _ in range(150):
+            words = list(base)
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    rows = [(i, len(shingles(t)), c) for i, (t, c) in enumerate(zip(texts, components([shingles(t) for t in texts], range(300)), strict=True))]
+    assert {c for _, _, c in rows[:150]}.isdisjoint({c for _, _, c in rows[150:]})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_components(df).collect())) == rows
+
+
+def test_registered_jaccard_query_is_that_of_all_pairs(spark, sf_dir):
+    from turnmill.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    sets = [shingles(text) for _, text in docs]
+    labels = components(sets, [i for i, _ in docs])
+    expected = [(i, len(s), c if s else i) for (i, _), s, c in zip(docs, sets, labels, strict=True)]
+    found = QUERIES["op1_jaccard_join"](spark, sf_dir).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)

@@ -5,9 +5,10 @@ members has token at place pos of the order all sets share. Sets that share no e
 are not linked. Following "Leveraging set relations in exact set similarity join",
 sets that are alike are used to skip work:
 
-* *Answers from a similar set.* Every set is first checked against one leader of its index lists.
-  What is linked then has a common label, and only pairs with different labels are looked at
-  further on: an answer inside a label is known from the leader's.
+* *Answers from a similar set.* A list has a few leaders, chosen by several orders, and every set is first
+  checked against the nearest by sketch of all its lists' leaders. What is linked then has a common label, so that a
+  group of near copies is nearly one label. Only pairs with different labels are looked at further on:
+  an answer inside a label follows from its leaders'.
 * *Skipping by position.* What is left of a list is grouped in blocks of nearby sizes and
   positions. A pair of blocks whose sizes and positions leave too little room for the
   overlap is skipped as a whole, before its entries are read.
@@ -38,6 +39,8 @@ BLOCK = 16
 BAND_RATIO = 1.25
 # Leaders that a set is checked against first.
 LEADERS = 2
+# Leaders that a list has besides its least and greatest sets.
+HASHED_LEADERS = 6
 # Bits of the filter that tells a scan which sets may be asked for: 2 MB.
 FILTER_BITS = 1 << 24
 
@@ -65,10 +68,15 @@ def link_sets(entries: DataFrame, members: Members, sketched: DataFrame) -> Data
     `sketched` has each node with its sketch in all other columns, repeatedly maybe.
     """
     shared = _shared_lists(entries)
-    first = store(_verified(_leader_pairs(shared), members))
-    labels = store(connected_components(first))
-    others = _cross_label_pairs(shared, labels, sketched)
-    second = store(_verified(others, members))
+    bits = [c for c in sketched.columns if c != "node"]
+    sketched = store(sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in bits]))
+    pairs = store(_leader_pairs(shared, sketched))
+    sets = _asked_sets(pairs, members)
+    labels = store(connected_components(store(_linked_pairs(pairs, sets))))
+    others = store(_cross_label_pairs(shared, labels, sketched))
+    if others.isEmpty():
+        return labels
+    second = store(_linked_pairs(others, _asked_sets(others, members)))
     if second.isEmpty():
         return labels
     return _merged(labels, second)
@@ -88,8 +96,8 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _shared_lists(entries: DataFrame) -> DataFrame:
-    """Entries whose token is in another set too, with three leaders: the least node of the
-    list's shard, and the least and the greatest one of about the same size."""
+    """Entries whose token is in another set too, with the list's leaders: the least node of the
+    list's shard, the least and the greatest one of about the same size, and the least of these by some hashes."""
     band = F.floor(F.log("n") / F.log(F.lit(BAND_RATIO))).cast("int")
     dealt = (
         entries.withColumn("shard", F.expr("cast(pmod(node, shards) as int)"))
@@ -101,8 +109,13 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
     dealt = dealt.withColumns({"lo": F.min(own).over(lists), "hi": F.max("node").over(lists)})
     dealt = dealt.where("lo.node <> hi OR shards > 1")
     in_band = Window.partitionBy("token", "shard", "band")
-    dealt = dealt.withColumns({"leader": F.min(own).over(in_band), "last": F.max(own).over(in_band)})
-    return store(dealt.select("token", "node", "n", "pos", "band", "lo", "leader", "last"))
+    leaders = [F.col("lo"), F.min(own).over(in_band), F.max(own).over(in_band)]
+    for number in range(HASHED_LEADERS):
+        hashed = F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("hash"), "node", "n", "pos")).over(in_band)
+        leaders.append(F.struct(hashed["node"].alias("node"), hashed["n"].alias("n"), hashed["pos"].alias("pos")))
+    dealt = dealt.withColumns({f"leader{number}": leader for number, leader in enumerate(leaders)})
+    every = F.array_distinct(F.array(*[f"leader{number}" for number in range(len(leaders))]))
+    return store(dealt.select("token", "node", "n", "pos", "band", every.alias("leaders")))
 
 
 # An overlap of 4/9 of both sizes is needed, and from the first common token on there are at
@@ -113,26 +126,44 @@ ROOM = (
 )
 
 
-def _leader_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each node with the LEADERS leaders that it shares most lists with, where sizes
-    and positions leave room enough."""
+def _differ(bits: list[str]) -> str:
+    """So many members at least are in one of two sets only."""
+    return " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in bits)
+
+
+def _nearest(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Of pairs (a, b, n), n the sum of their sizes, those near enough by sketch: for each a the LEADERS nearest b."""
+    bits = [c for c in sketched.columns if c != "node"]
+
+    def side(name: str) -> DataFrame:
+        return sketched.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in bits])
+
+    apart = pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "n", F.expr(_differ(bits)).alias("apart")
+    )
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))
+    near = apart.where("9 * apart <= n").withColumn("rank", rank)
+    return near.where(F.col("rank") <= LEADERS).select("a", "b")
+
+
+def _leader_pairs(shared: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(a, b): each node with the LEADERS nearest leaders of its lists, where sizes and positions
+    leave room enough."""
     possible = shared.select(
         F.struct("node", "n", "pos").alias("own"),
-        F.explode(F.array_distinct(F.array("lo", "leader", "last"))).alias("other"),
+        F.explode("leaders").alias("other"),
     ).where("own.node <> other.node AND " + ROOM.format(a="own", b="other"))
-    counted = possible.groupBy(F.col("own.node").alias("a"), F.col("other.node").alias("b")).agg(
-        F.count("*").alias("lists")
+    distinct = possible.groupBy(F.col("own.node").alias("a"), F.col("other.node").alias("b")).agg(
+        F.first(F.col("own.n") + F.col("other.n")).alias("n")
     )
-    # Most lists first; of equals, the least leader.
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("lists"), "b"))
-    return counted.withColumn("rank", rank).where(F.col("rank") <= LEADERS).select("a", "b")
+    return _nearest(distinct, sketched)
 
 
 def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame) -> DataFrame:
     """(a, b): all pairs of sets in a common list that have different labels, room enough and
     sketches near enough."""
     bits = [c for c in sketched.columns if c != "node"]
-    known = sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in bits]).join(labels, "node", "left")
+    known = sketched.join(labels, "node", "left")
     labelled = shared.join(known, "node").select(
         "token", "node", "n", "pos", "band", *bits,
         F.coalesce("label", "node").alias("label"),
@@ -167,7 +198,7 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
     met = met.where(
         "5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a "
         "AND 9 * least(n_a - pos_a, n_b - pos_b) >= 4 * (n_a + n_b)"
-        f" AND 9 * ({' + '.join(f'bit_count({c}_a ^ {c}_b)' for c in bits)}) <= n_a + n_b"
+        f" AND 9 * ({_differ(bits)}) <= n_a + n_b"
     )
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -180,13 +211,16 @@ def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([linked(a, b) for a, b in zip(left, right, strict=True)], dtype=bool)
 
 
-def _verified(pairs: DataFrame, members: Members) -> DataFrame:
-    """Those pairs (a, b) whose sets have 100 * intersection >= 80 * union. Only the sets of
-    pairs are asked for, each once."""
-    pairs = store(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _asked_sets(pairs: DataFrame, members: Members) -> DataFrame:
+    """(node, members) of the sets of stored pairs, each once. Only these are asked for."""
+    nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    nodes = store(nodes.withColumnRenamed("a", "node"))
     asked = members(node_filter(nodes)).join(nodes, "node", "left_semi")
-    sets = store(asked.groupBy("node").agg(F.first("members").alias("members")))
+    return store(asked.groupBy("node").agg(F.first("members").alias("members")))
+
+
+def _linked_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose sets are at hand and have 100 * intersection >= 80 * union."""
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("left"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("right"))
     return pairs.join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("left", "right")).select("a", "b")
