@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnmill.checkpoints import store
+
 SEPARATORS = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -26,32 +28,59 @@ def _split_words(text: Column) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
+# Up to so many words, a window's hash and place fit into one number with 52 bits of hash or more.
+CODED_WORDS = 4096
+
+
+def _window_hash(hashes: Column, place: Column) -> Column:
+    return F.xxhash64(*[F.get(hashes, place + i) for i in range(3)])
+
+
+def _window_places(hashes: Column) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.size(hashes).cast("bigint") - 3)
+
+
 def _window_codes(hashes: Column, bits: Column) -> Column:
-    """Sorted codes of all 3-word windows: the hash of the words in the high bits, the place in
-    the low bits, as many as the text needs. Equal windows are neighbours."""
+    """Sorted codes of all 3-word windows of a text of CODED_WORDS words or fewer: the hash of the words in the
+    high bits, the place in the low bits, as many as the text needs. Equal windows are neighbours."""
 
     def code(place: Column) -> Column:
-        own = F.xxhash64(*[F.get(hashes, place + i) for i in range(3)])
-        return F.call_function("shiftleft", own, bits).bitwiseOR(place)
+        return F.call_function("shiftleft", _window_hash(hashes, place), bits).bitwiseOR(place)
 
-    places = F.sequence(F.lit(0).cast("bigint"), F.size(hashes).cast("bigint") - 3)
-    return F.when(F.size(hashes) > 3, F.sort_array(F.transform(places, code)))
+    coded = F.size(hashes).between(4, CODED_WORDS)
+    return F.when(coded, F.sort_array(F.transform(_window_places(hashes), code)))
+
+
+def _window_rows(hashes: Column) -> Column:
+    """Sorted (hash, place) of all 3-word windows of a longer text, with all bits of the hash."""
+
+    def row(place: Column) -> Column:
+        return F.struct(_window_hash(hashes, place).alias("hash"), place.alias("place"))
+
+    return F.when(F.size(hashes) > CODED_WORDS, F.sort_array(F.transform(_window_places(hashes), row)))
 
 
 def _place_bits(words: Column) -> Column:
     return F.ceil(F.log2(F.greatest(F.size(words), F.lit(1)))).cast("int")
 
 
-def _repeated_places(codes: Column, bits: Column) -> Column:
-    """Places of the windows that occur more than once, in order."""
+def _repeated_places(codes: Column, bits: Column, rows: Column) -> Column:
+    """Places of the windows that occur more than once, in order, from their codes or their rows."""
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1
 
-    def same(a: Column, b: Column) -> Column:
+    def same_code(a: Column, b: Column) -> Column:
         equal = F.call_function("shiftrightunsigned", a.bitwiseXOR(b), bits) == 0
         return F.when(equal, F.array(a.bitwiseAND(mask), b.bitwiseAND(mask)))
 
-    # The last code has no following one.
-    pairs = F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes)), same)
+    def same_row(a: Column, b: Column) -> Column:
+        return F.when(a["hash"] == b["hash"], F.array(a["place"], b["place"]))
+
+    def neighbours(values: Column, same) -> Column:
+        # The last value has no following one.
+        firsts = F.slice(values, F.lit(1), F.size(values) - 1)
+        return F.zip_with(firsts, F.slice(values, F.lit(2), F.size(values)), same)
+
+    pairs = F.coalesce(neighbours(codes, same_code), neighbours(rows, same_row))
     return F.sort_array(F.array_distinct(F.flatten(F.array_compact(pairs))))
 
 
@@ -78,8 +107,13 @@ def with_measures(docs: DataFrame) -> DataFrame:
     steps = (
         docs.withColumns({"_q_words": _split_words(text), "_q_lines": lines})
         .withColumns({"_q_hashes": hashes, "_q_n": F.size("_q_words"), "_q_bits": _place_bits(F.col("_q_words"))})
-        .withColumn("_q_codes", _window_codes(F.col("_q_hashes"), F.col("_q_bits")))
-        .withColumn("_q_places", _repeated_places(F.col("_q_codes"), F.col("_q_bits")))
+        .withColumns(
+            {
+                "_q_codes": _window_codes(F.col("_q_hashes"), F.col("_q_bits")),
+                "_q_rows": _window_rows(F.col("_q_hashes")),
+            }
+        )
+        .withColumn("_q_places", _repeated_places(F.col("_q_codes"), F.col("_q_bits"), F.col("_q_rows")))
     )
 
     def count(pattern: str) -> Column:
@@ -228,15 +262,15 @@ def judge_quality(voted: DataFrame, model: VoteModel, threshold: float = 0.5) ->
 
 
 def filter_quality(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """`docs` without the texts that are rejected; its columns stay as they are.
+    """`docs` without the texts that are rejected; its columns stay as they are, whatever their names.
 
-    Votes are counted in one pass over all texts when this is called, and each text is judged
-    in another one; nothing but vote patterns is shuffled. An empty or null text is rejected.
+    Each row is measured once and written to the checkpoint folder with its votes when this is called; votes are
+    counted there, and the rows judged by them. Nothing but vote patterns is shuffled. An empty or null
+    text is rejected; equal rows are judged alike; an empty table stays empty.
     """
-    names = docs.columns
-    texts = docs.select(F.col("text").alias("text"))
-    model = fit_votes(count_votes(with_votes(texts, rules)), len(rules))
-    # A filter over a row number stays above what numbers the rows: moved below, it would
-    # compute the measures again wherever it uses one.
-    numbered = with_votes(docs, rules).withColumn("_q_row", F.monotonically_increasing_id())
-    return judge_quality(numbered, model).where("kept AND _q_row >= 0").select(*[F.col(f"`{name}`") for name in names])
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    voted = with_votes(rows.select("row", F.col("row.text").alias("text")), rules).drop("text")
+    voted = store(voted.select("row", "votes", base_failed().alias("failed")))
+    model = fit_votes(count_votes(voted), len(rules))
+    kept = voted.where(~F.col("failed") & (quality_column(model) >= 0.5))
+    return kept.select(*[F.col(f"row.`{name}`") for name in docs.columns])
