@@ -34,6 +34,8 @@ TOKENS = {
 
 # What could be read as a control string: its first character gets a backslash after it.
 CONTROL = r"(<|\[)(?=\||/?s>|/?INST\])"
+# What an attachment of a type that is not listed is shown as.
+OTHER = "attachment"
 
 
 def escape(text: Column) -> Column:
@@ -57,23 +59,43 @@ def text_part(text: Column) -> Column:
 def flatten_parts(parts: Column) -> Column:
     """STRUCT<content, attachments> of an ARRAY of PARTS.
 
-    content: texts, escaped, and `<|type|>` for attachments, in order. attachments: ARRAY of
-    STRUCT<type, ref, tokens>, one for each placeholder, in order. A null list is empty, a null
-    part nothing, a part without a type or with type text its text, a null text empty; a part of
-    another type that has no expansion takes one token.
+    content: texts, escaped, and `<|type|>` for attachments, in order; texts that follow one another make no
+    control string together. attachments: ARRAY of STRUCT<type, ref, tokens>, one for each placeholder, in
+    order. A null list is empty, a null part nothing, a part without a type or with type text its
+    text, a null text empty; a part of a type that is not in TOKENS is shown as `<|attachment|>`, keeps its
+    type in the list and takes one token.
     """
     parts = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: p.isNotNull())
 
     def is_text(p: Column) -> Column:
         return F.coalesce(p["type"] == "text", F.lit(True))
 
-    def shown(p: Column) -> Column:
-        text = escape(F.coalesce(p["text"], F.lit("")))
-        return F.when(is_text(p), text).otherwise(F.concat(F.lit("<|"), escape(p["type"]), F.lit("|>")))
-
+    # Texts that follow one another are one run, escaped as a whole.
+    run = "array<struct<kind: string, text: string>>"
+
+    def as_run(p: Column) -> Column:
+        # Listed types only: a type of the caller's could spell a control string.
+        kind = F.when(is_text(p), F.lit("text")).when(p["type"].isin(*TOKENS), p["type"]).otherwise(OTHER)
+        return F.struct(kind.alias("kind"), F.coalesce(p["text"], F.lit("")).alias("text"))
+
+    def joined(runs: Column, p: Column) -> Column:
+        last = F.element_at(runs, -1)
+        goes_on = is_text(p) & F.coalesce(F.get(runs, F.size(runs) - 1)["kind"] == "text", F.lit(False))
+        longer = F.struct(
+            F.lit("text").alias("kind"), F.concat(last["text"], F.coalesce(p["text"], F.lit(""))).alias("text")
+        )
+        return F.when(
+            goes_on, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer)).cast(run)
+        ).otherwise(F.concat(runs, F.array(as_run(p))).cast(run))
+
+    def shown(r: Column) -> Column:
+        placeholder = F.concat(F.lit("<|"), r["kind"], F.lit("|>"))
+        return F.when(r["kind"] == "text", escape(r["text"])).otherwise(placeholder)
+
+    runs = F.aggregate(parts, F.array().cast(run), joined)
     attached = F.filter(parts, lambda p: ~is_text(p))
     return F.struct(
-        F.array_join(F.transform(parts, shown), "").alias("content"),
+        F.array_join(F.transform(runs, shown), "").alias("content"),
         F.transform(
             attached,
             lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), _expansion(p).alias("tokens")),
@@ -158,6 +180,38 @@ def read_chat(formatted: Column) -> Column:
     return F.transform(turns, turn)
 
 
+def read_parts(content: Column) -> Column:
+    """ARRAY of STRUCT<type, text> of a turn's content as it is formatted: runs of text, unescaped, and between them the
+    placeholders by type, without text. What stands for a placeholder in a text is text again. Empty runs are left out."""
+    placeholder = rf"<\|({'|'.join([*TOKENS, OTHER])})\|>"
+    kinds = F.regexp_extract_all(content, F.lit(placeholder), F.lit(1))
+    texts = F.transform(F.split(content, placeholder, -1), unescape)
+
+    def part(kind: Column, text: Column) -> Column:
+        return F.struct(kind.alias("type"), text.alias("text"))
+
+    none = F.lit(None).cast("string")
+    pairs = F.zip_with(
+        texts, kinds, lambda text, kind: F.array(part(F.lit("text"), text), part(kind, none))
+    )
+    return F.filter(
+        F.flatten(pairs), lambda p: p["type"].isNotNull() & ((p["type"] != "text") | (p["text"] != ""))
+    )
+
+
+def read_chat_parts(formatted: Column) -> Column:
+    """ARRAY of STRUCT<role, parts> of a formatted conversation, see `read_parts`."""
+
+    def turn(piece: Column) -> Column:
+        head = F.substring_index(piece, SEP, 1)
+        content = F.substring(piece, F.length(head) + len(SEP) + 1, F.length(piece))
+        role = F.substring(head, len(START) + 1, F.length(head))
+        return F.struct(unescape(role).alias("role"), read_parts(content).alias("parts"))
+
+    pieces = F.split(formatted, r"<\|im_end\|>\n")
+    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), turn)
+
+
 def masked_text(formatted: Column, turns: Column) -> Column:
     """All text under the loss mask, unescaped, put together."""
     pieces = F.split(formatted, r"<\|im_end\|>\n")
