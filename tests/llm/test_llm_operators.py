@@ -140,7 +140,7 @@ def test_content_parts_become_placeholders(spark):
     ]
     df = spark.createDataFrame([(1, 0, "user", parts), (2, 0, "user", None)], f"conv_id long, turn long, role string, parts {chat_format.PARTS.simpleString()}")
     row, empty = chat_format.format_chats(df).orderBy("conv_id").collect()
-    assert row.formatted == "<|im_start|>user<|im_sep|>see <\\|image|><|image|><|audio|>end<|document|><|video|><|im_end|>\n"
+    assert row.formatted == "<|im_start|>user<|im_sep|>see <\\|image|><|image|><|audio|>end<|document|><|attachment|><|im_end|>\n"
     assert [(a.type, a.ref, a.tokens) for a in row.attachments] == [
         ("image", "a.png", 5), ("audio", "b.wav", 63), ("document", "c.pdf", 1536), ("video", "d", 1)
     ]
