@@ -100,7 +100,89 @@ def prefix_sql() -> str:
         FROM nodes JOIN sums USING (node) LEFT JOIN children USING (node) LEFT JOIN above USING (node)"""
 
 
+# A to Z in lower case, and nothing else.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def jaccard_sql() -> str:
+    """All pairs of documents with a common shingle, then the least doc_id reachable by links."""
+    return f"""WITH RECURSIVE w AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
+                  FROM w WHERE len(words) > 0)),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+                 JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+             LEFT JOIN n USING (doc_id)"""
+
+
+def chat_sql() -> str:
+    """What the formatted text must read back as; its length from what is escaped: backslashes and control strings."""
+    control = r"[<\[](\||/?s>|/?INST\])"
+
+    def size(text: str) -> str:
+        return (
+            f"length({text}) + length({text}) - length(replace({text}, chr(92), '')) "
+            f"+ len(regexp_extract_all({text}, '{control}'))"
+        )
+
+    return f"""WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn))
+                   AS loss_sha256,
+               sum(length('<|im_start|><|im_sep|><|im_end|>') + 1 + {size("role")} + {size("text")})::BIGINT
+                   AS formatted_chars
+        FROM t GROUP BY conv_id"""
+
+
+def contamination_sql() -> str:
+    """Every window of every item, looked up at every place of every document."""
+    words = f"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""WITH d AS MATERIALIZED (SELECT doc_id, {words} AS words FROM documents),
+        b AS MATERIALIZED (
+            SELECT item_id::VARCHAR AS item_id, words, least(len(words), 13) AS size
+            FROM (SELECT item_id, {words} AS words FROM benchmark) WHERE len(words) > 0),
+        windows AS MATERIALIZED (
+            SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS shown
+            FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM b)),
+        found AS MATERIALIZED (
+            SELECT DISTINCT doc_id, i, size, item_id
+            FROM (SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS shown
+                  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+                        FROM d, (SELECT DISTINCT size FROM windows)))
+                 JOIN windows USING (size, shown)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS shown
+            FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(shown, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": jaccard_sql(),
+    "op2_chat_format": chat_sql(),
+    "op5_decontamination": contamination_sql(),
     "op11_centroid_clustering": clustering_sql(),
     "op13_prefix_trie": prefix_sql(),
 }
