@@ -1,146 +1,276 @@
 """Token counts by a map-side lookup of pre-token lengths in two tiers.
 
 Byte-level BPE never merges across pre-tokens, so a text has as many tokens as its
-pre-tokens have. A single space always starts a pre-token, so a text is cut there first, into words;
-a word is one pre-token or several ("it's", "end.\\nNext"). The lengths of frequent words are broadcast
-as one table; the others are encoded where they occur and kept in a cache of the worker. No
-pre-token of a text is shuffled.
+pre-tokens have. A space between two characters that are no white space starts a pre-token, whatever
+script they are of, so texts are cut there into pieces: a piece is one pre-token or several
+("it's", "end.\\nNext"). Pieces are found and hashed by numpy, many texts at once. The
+lengths of frequent pieces are broadcast as a compact table of hashes and lengths; the others are encoded
+where they occur and their lengths kept in a cache of the worker. No pre-token of a text is shuffled.
 """
 
-import re
-from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most entries of the broadcast table, and of what one task proposes for it.
+from turnmill.llm.words import mix, row_chunks, string_buffers
+
+# Most entries of the broadcast table, and of what one task proposes for it. Only pieces of at most
+# LONGEST bytes are proposed, so the table is made from at most FREQUENT * LONGEST bytes of text.
 FREQUENT = 1 << 16
 PROPOSED = 1 << 13
-# A task's counter is cut back to PROPOSED * 8 entries when it has this many.
+LONGEST = 64
+# A task's counts are cut back to PROPOSED * 8 entries when it has this many.
 COUNTED = 1 << 19
-# Most pre-tokens a worker's cache holds before it starts anew.
+# Most lengths a worker's cache holds before it starts anew.
 CACHED = 1 << 20
+# Bytes hashed at a time, unless one text is longer.
+CHUNK = 1 << 18
 
-# The pattern of byte-level pre-tokens, with white space spelled out as Unicode has it.
-WHITE = r"\t-\r \x85\xa0  -     　"
-PRETOKEN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
-    rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-)
-# Characters whose classes are the same in every Unicode version; a text with others is
-# encoded by the library as a whole.
-STABLE = (
-    r"[\x00-ɏΑ-ΡΣ-ώЀ-џ‐-‧€"
-    r"ぁ-ゖァ-ヺ一-龥가-힣]*+"
+SPACE = 0x20
+# White space outside ASCII, as Unicode has it, and U+180E, which it had once.
+WIDE_WHITE = (
+    "\u0085\u00a0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Hash values of bytes, and a multiplier per place with its inverse.
+_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTOR = 0xD6E8FEB86659FD93
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    values = np.full(count, base, np.uint64)
+    values[:1] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(values)
+
+
+_PLACES = {"up": _powers(_FACTOR, 2 * CHUNK), "down": _powers(_INVERSE, 2 * CHUNK)}
+
+
+def _places(count: int) -> tuple[np.ndarray, np.ndarray]:
+    if count <= 2 * CHUNK:
+        return _PLACES["up"][:count], _PLACES["down"]
+    return _powers(_FACTOR, count), _powers(_INVERSE, count)
+
 
-# White space next to a space: such a text is not cut at spaces.
-UNEVEN = rf"[{WHITE}] | [{WHITE}]|\A |[{WHITE}]\Z"
+def _white(data: np.ndarray) -> np.ndarray:
+    """Bytes of white space and, to be safe, of all ASCII controls."""
+    white = data <= SPACE
+    if not len(data) or data.max() < 0x80:
+        return white
+    by_lead: dict[int, list[bytes]] = {}
+    for character in WIDE_WHITE:
+        by_lead.setdefault(character.encode()[0], []).append(character.encode())
+    for lead, spelled in by_lead.items():
+        at = np.flatnonzero(data == lead)
+        for code in spelled if len(at) else ():
+            found = at[at <= len(data) - len(code)]
+            for place, byte in enumerate(code):
+                found = found[data[found + place] == byte]
+            for place in range(len(code)):
+                white[found + place] = True
+    return white
 
 
-class PreTokens:
-    """Splits texts for one tokenizer."""
+def cut_pieces(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces start in texts that lie end to end, and the number of the first one of each text.
+
+    `row_starts` has the end of the last text too. An empty text has no piece.
+    """
+    starts = np.zeros(len(data), bool)
+    if len(data) > 2:
+        white = _white(data)
+        starts[1:-1] = (data[1:-1] == SPACE) & ~white[:-2] & ~white[2:]
+    starts[row_starts[row_starts < len(data)]] = True
+    starts = np.flatnonzero(starts)
+    return starts, np.searchsorted(starts, row_starts)
+
+
+def hash_pieces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the pieces."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    up, down = _places(len(data))
+    with np.errstate(over="ignore"):
+        sums = np.add.reduceat(_VALUES[data] * up, starts) * down[starts]
+        return mix(sums + np.diff(starts, append=len(data)).astype(np.uint64))
+
+
+def hash_spelled(pieces: list[str]) -> np.ndarray:
+    """Hashes of pieces that are not empty."""
+    sizes = [len(piece.encode()) for piece in pieces]
+    starts = np.cumsum([0, *sizes])[:-1].astype(np.int64)
+    return hash_pieces(np.frombuffer("".join(pieces).encode(), np.uint8), starts)
+
+
+class Encoder:
+    """The library's counts for one tokenizer, and lengths a worker has seen, by hash."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(PRETOKEN).findall
-        self.stable = regex.compile(STABLE).fullmatch
-        self.uneven = re.compile(UNEVEN).search
         self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.seen: dict[int, int] = {}
 
     def encoded(self, texts: list[str]) -> list[int]:
         return [len(own) for own in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def words(self, text: str) -> list[str] | None:
-        """The first word, then the others without the space in front; None for a text that is
-        not to be cut: it has added tokens or characters whose class may have changed."""
-        if "\0" in text or any(name in text for name in self.names):
-            return None
-        if not text.isascii() and self.stable(text) is None:
-            return None
-        if self.uneven(text) is None:
-            return text.split(" ")
-        # Pre-tokens as they are, marked so that they are not taken for words after a space.
-        return ["", *["\0" + found for found in self.find(text)]]
+    def named(self, column: pa.Array) -> np.ndarray:
+        """Rows with an added token: such texts are encoded by the library as a whole."""
+        found = np.zeros(len(column), bool)
+        for name in self.names:
+            found |= pc.match_substring(column, name).fill_null(False).to_numpy(zero_copy_only=False)
+        return found
 
+    def lengths(self, hashes: np.ndarray, spelled: Callable[[int], str]) -> np.ndarray:
+        """Lengths of different pieces; `spelled` gives the text of one by its number here."""
+        if len(self.seen) > CACHED:
+            self.seen.clear()
+        seen, keys = self.seen, hashes.tolist()
+        new = [i for i, key in enumerate(keys) if key not in seen]
+        found = self.encoded([spelled(i) for i in new])
+        seen.update(zip([keys[i] for i in new], found, strict=True))
+        return np.fromiter(map(seen.__getitem__, keys), np.int64, len(keys))
 
-def _propose(path: str) -> Callable:
-    def scan(batches):
-        pre, counts = PreTokens(path), Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                if text:
-                    counts.update((pre.words(text) or [])[1:])
-                if len(counts) > COUNTED:
-                    counts = Counter(dict(counts.most_common(PROPOSED * 8)))
-        top = counts.most_common(PROPOSED)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
-            ["word", "n"],
-        )
 
-    return scan
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One for each tokenizer, kept while the Python worker lives, over its tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, bytes, starts, first, hashes) of the pieces of some texts at a time."""
+    data, offsets = string_buffers(column)
+    for rows in row_chunks(offsets, CHUNK):
+        base = offsets[rows.start]
+        text = data[base : offsets[rows.stop]]
+        starts, first = cut_pieces(text, offsets[rows.start : rows.stop + 1] - base)
+        yield rows, text, starts, first, hash_pieces(text, starts)
+
+
+class Frequent:
+    """Counts of pieces by hash, cut back to the most frequent ones when there are very many."""
+
+    def __init__(self):
+        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.spelled: dict[int, bytes] = {}
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waits = 0
 
+    def add(self, text: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> None:
+        ends = np.append(starts[1:], len(text))
+        short = ends - starts <= LONGEST
+        starts, ends = starts[short], ends[short]
+        found, at, counts = np.unique(hashes[short], return_index=True, return_counts=True)
+        held, whole = self.spelled, text.tobytes()
+        for key, i in zip(found.tolist(), at.tolist(), strict=True):
+            if key not in held:
+                held[key] = whole[starts[i] : ends[i]]
+        self.waiting.append((found, counts))
+        self.waits += len(found)
+        if self.waits > COUNTED:
+            self._settle()
 
-def _spelled(word: str) -> str:
-    """What a word of `PreTokens.words` after the first stands for."""
-    return word[1:] if word.startswith("\0") else " " + word
+    def _settle(self) -> None:
+        hashes = np.concatenate([self.hashes, *[h for h, _ in self.waiting]])
+        counts = np.concatenate([self.counts, *[c for _, c in self.waiting]])
+        self.waiting, self.waits = [], 0
+        self.hashes, place = np.unique(hashes, return_inverse=True)
+        self.counts = np.bincount(place, counts, len(self.hashes)).astype(np.int64)
+        if len(self.hashes) > COUNTED:
+            kept = np.sort(np.argsort(-self.counts, kind="stable")[: PROPOSED * 8])
+            self.hashes, self.counts = self.hashes[kept], self.counts[kept]
+            self.spelled = {key: self.spelled[key] for key in self.hashes.tolist()}
 
+    def top(self, limit: int) -> tuple[list[str], list[int]]:
+        self._settle()
+        best = np.argsort(-self.counts, kind="stable")[:limit]
+        return [self.spelled[key].decode() for key in self.hashes[best].tolist()], self.counts[best].tolist()
 
-def frequent_lengths(texts: DataFrame, path: str, limit: int = FREQUENT) -> dict[str, int]:
-    """Token counts of the most frequent words: a bounded table for speed only.
 
-    Every task counts the words of all its texts and proposes its most frequent ones.
+def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = Frequent()
+    for batch in batches:
+        for _, text, starts, _, hashes in _chunks(batch.column("text")):
+            counts.add(text, starts, hashes)
+    pieces, times = counts.top(PROPOSED)
+    yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(times, pa.int64())], ["piece", "n"])
+
+
+def frequent_lengths(texts: DataFrame, path: str, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, token counts) of the most frequent pieces, by hash: a bounded table for speed only.
+
+    Every task counts the pieces of all its texts and proposes its most frequent ones.
     """
-    proposed = texts.select("text").mapInArrow(_propose(path), "word string, n long")
-    sums = proposed.groupBy("word").agg(F.sum("n").alias("n"))
-    words = [row[0] for row in sums.orderBy(F.desc("n"), "word").limit(limit).select("word").collect()]
-    return dict(zip(words, PreTokens(path).encoded([_spelled(word) for word in words]), strict=True))
+    proposed = texts.select("text").mapInArrow(_propose, "piece string, n long")
+    sums = proposed.groupBy("piece").agg(F.sum("n").alias("n"))
+    pieces = [row[0] for row in sums.orderBy(F.desc("n"), "piece").limit(limit).select("piece").collect()]
+    hashes, lengths = hash_spelled(pieces), np.array(encoder_of(path).encoded(pieces), np.int32)
+    order = np.argsort(hashes)
+    return hashes[order], lengths[order]
 
 
-def _count(path: str, frequent) -> Callable:
-    def scan(batches):
-        pre = PreTokens(path)
-        lengths = dict(frequent.value)
-
-        def counts(texts: list[str]) -> list[int]:
-            nonlocal lengths
-            if len(lengths) > CACHED:
-                lengths = dict(frequent.value)
-            cut = [pre.words(text) for text in texts]
-            new = list({word for words in cut if words for word in words[1:] if word not in lengths})
-            lengths.update(zip(new, pre.encoded([_spelled(word) for word in new]), strict=True))
-            whole = [text if words is None else words[0] for text, words in zip(texts, cut, strict=True)]
-            return [
-                first + sum(map(lengths.__getitem__, (words or [])[1:]))
-                for first, words in zip(pre.encoded(whole), cut, strict=True)
-            ]
+def _looked_up(hashes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths from the table, and which pieces it lacks."""
+    known, lengths = table
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return lengths[at].astype(np.int64), np.flatnonzero(known[at] != hashes)
 
+
+def count_column(column: pa.Array, encoder: Encoder, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Tokens of each text of a string column."""
+    counts = np.zeros(len(column), np.int64)
+    for rows, text, starts, first, hashes in _chunks(column):
+        lengths, missing = _looked_up(hashes, table)
+        if len(missing):
+            ends, whole = np.append(starts[1:], len(text)), memoryview(text)
+            new, at, place = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            at = missing[at].tolist()
+            found = encoder.lengths(new, lambda i: str(whole[starts[at[i]] : ends[at[i]]], "utf-8"))
+            lengths[missing] = found[place]
+        sums = np.concatenate([[0], np.cumsum(lengths)])[first]
+        counts[rows.start : rows.stop] = np.diff(sums)
+    named = np.flatnonzero(encoder.named(column))
+    if len(named):
+        counts[named] = encoder.encoded(column.take(pa.array(named)).to_pylist())
+    return counts
+
+
+def _count(path: str, table) -> Callable:
+    def scan(batches):
+        encoder = encoder_of(path)
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            n_tokens = [n for low in range(0, len(texts), 512) for n in counts(texts[low : low + 512])]
-            n_bytes = [len(text) if text.isascii() else len(text.encode()) for text in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens"],
-            )
+            texts = batch.column("text")
+            n_bytes = pc.binary_length(texts).fill_null(0).cast(pa.int64())
+            n_tokens = pa.array(count_column(texts, encoder, table.value), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"])
 
     return scan
 
 
 def count_text_tokens(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens) per row of `docs` (doc_id, text), exactly as the library counts.
+    """(doc_id, n_bytes, n_tokens) per row of `docs` (doc_id, text), exactly as the library counts, but for
+    pieces whose 64-bit hashes collide.
 
     `path` is a byte-level BPE file of the `tokenizers` library without normaliser, which must be
     readable on every executor. No begin or end token is added; strings of the
     vocabulary's special tokens inside a text count as these tokens. A null text is empty: no bytes, no tokens. Repeated
-    rows are counted each; other columns are ignored. Reads the texts twice, when called and when used.
+    rows are counted each; other columns are ignored; an empty table gives no rows. Reads the texts twice,
+    when called and when used.
     """
     texts = docs.select("doc_id", "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
