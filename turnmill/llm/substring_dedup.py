@@ -47,15 +47,28 @@ SKETCH = 1
 SPAN, SPAN_CHOICE = 35, 17
 
 
+class Chunk(NamedTuple):
+    """Some rows of a string column: bytes, where rows and lines start in them (and the last one ends), words by line."""
+
+    rows: range
+    text: np.ndarray
+    row_starts: np.ndarray
+    cuts: np.ndarray
+    words: Words
+
+    def characters(self) -> np.ndarray:
+        """Code points before each byte, and in all."""
+        return np.concatenate([[0], np.cumsum((self.text & 0xC0) != 0x80)])
+
+
 class Lines(NamedTuple):
-    """Lines of some rows that have words enough, with their shingle sets end to end."""
+    """Lines of some rows that have words enough, with their shingle sets end to end. `row` counts rows of the
+    column, `seq` these lines of a text; `first` and `last` number words of the chunk, `last` exclusive."""
 
     row: np.ndarray
     seq: np.ndarray
-    start: np.ndarray
-    end: np.ndarray
-    first_word: np.ndarray
-    last_word: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
     node: np.ndarray
     shingles: np.ndarray
     bounds: np.ndarray
@@ -64,41 +77,57 @@ class Lines(NamedTuple):
         return self.shingles[self.bounds[line] : self.bounds[line + 1]]
 
 
-def line_sets(column: pa.Array, shingle: int, least: int) -> Iterator[Lines]:
-    """Lines of at least `least` words, in runs of rows. Places are code points and word numbers in
-    the text; seq counts these lines in a text."""
+def text_chunks(column: pa.Array) -> Iterator[Chunk]:
     data, offsets = string_buffers(column)
     for rows in row_chunks(offsets):
         base = int(offsets[rows.start])
         text = data[base : int(offsets[rows.stop])]
         row_starts = offsets[rows.start : rows.stop + 1] - base
         cuts = np.union1d(np.flatnonzero(text == NEWLINE) + 1, row_starts)
-        words = split_words(data, offsets, rows, SPACED, cuts)
-        counts = np.diff(words.first)
-        chosen = np.flatnonzero(counts >= max(least, shingle))
-        if not len(chosen):
-            continue
-        row = np.searchsorted(row_starts, cuts[chosen], "right") - 1
-        characters = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-        row_char = characters[row_starts[row]]
-        first, last = words.first[chosen], words.first[chosen + 1]
-        row_word = np.searchsorted(words.starts, row_starts[row])
-        hashes = windows(words.hashes, shingle)
-        sizes = last - first - shingle + 1
-        line = np.repeat(np.arange(len(chosen)), sizes)
-        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[line]
-        values = hashes[at]
+        yield Chunk(rows, text, row_starts, cuts, split_words(data, offsets, rows, SPACED, cuts))
+
+
+def _distinct(values: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value of each line once, ordered by line. `line` is in order."""
+    order = None
+    if not len(line) or line[-1] < 1 << 20:
+        # One sort by line and the first 44 bits; if these are equal for different values, by both in full.
+        key = (line.astype(np.uint64) << np.uint64(44)) | (values >> np.uint64(20))
+        order = np.argsort(key)
+        key, ordered = key[order], values[order]
+        if np.any((key[1:] == key[:-1]) & (ordered[1:] != ordered[:-1])):
+            order = None
+    if order is None:
         order = np.lexsort((values, line))
-        values, line = values[order], line[order]
-        distinct = np.ones(len(values), bool)
-        distinct[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
-        values, line = values[distinct], line[distinct]
-        bounds = np.searchsorted(line, np.arange(len(chosen) + 1))
-        seq = np.arange(len(chosen)) - np.searchsorted(row, row)
-        yield Lines(
-            row + rows.start, seq, characters[words.starts[first]] - row_char, characters[words.ends[last - 1]] - row_char,
-            first - row_word, last - row_word, set_ids(values, bounds), values, bounds,
-        )
+    values, line = values[order], line[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
+    return values[fresh], line[fresh]
+
+
+def lines_of(chunk: Chunk, shingle: int, least: int) -> Lines | None:
+    """Lines of at least `least` words; None if there are none."""
+    words = chunk.words
+    chosen = np.flatnonzero(np.diff(words.first) >= max(least, shingle))
+    if not len(chosen):
+        return None
+    row = np.searchsorted(chunk.row_starts, chunk.cuts[chosen], "right") - 1
+    first, last = words.first[chosen], words.first[chosen + 1]
+    hashes = windows(words.hashes, shingle)
+    sizes = last - first - shingle + 1
+    line = np.repeat(np.arange(len(chosen)), sizes)
+    at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[line]
+    values, line = _distinct(hashes[at], line)
+    bounds = np.searchsorted(line, np.arange(len(chosen) + 1))
+    seq = np.arange(len(chosen)) - np.searchsorted(row, row)
+    return Lines(row + chunk.rows.start, seq, first, last, set_ids(values, bounds), values, bounds)
+
+
+def line_sets(column: pa.Array, shingle: int, least: int) -> Iterator[Lines]:
+    for chunk in text_chunks(column):
+        lines = lines_of(chunk, shingle, least)
+        if lines is not None:
+            yield lines
 
 
 def line_bands(lines: Lines, chosen: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -116,8 +145,8 @@ def line_bands(lines: Lines, chosen: np.ndarray, bands: int, rows: int) -> np.nd
         return found
 
 
-LINES = "row long, seq int, start long, end long, first_word long, last_word long, node long"
-SPANS = "row long, start long, end long, first_word long, last_word long, span long"
+# What a scan finds: lines (node is not null) and spans (span is not null). `row` tells rows of the input apart.
+FOUND = "row long, seq int, start long, end long, first_word long, last_word long, node long, span long"
 
 
 def _extreme(values: np.ndarray, size: int, of: np.ufunc) -> np.ndarray:
@@ -147,66 +176,49 @@ def chosen_spans(words: Words, size: int, choice: int) -> tuple[np.ndarray, np.n
     return at, hashes[at]
 
 
-def _scan_spans(size: int, choice: int) -> Callable:
-    """(doc_id, SPANS) of the chosen spans; numbers rows as `_scan_lines` does."""
+def _scan_found(shingle: int, least: int, size: int, choice: int) -> Callable:
+    """(doc_id, FOUND, sketch) of lines and chosen spans, from one pass that numbers the rows."""
 
     def scan(batches):
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            data, offsets = string_buffers(batch.column("text"))
-            for rows in row_chunks(offsets):
-                words = split_words(data, offsets, rows, SPACED)
-                at, hashes = chosen_spans(words, size, choice)
-                if not len(at):
-                    continue
-                own = np.searchsorted(words.first, at, "right") - 1
-                text = data[words.base : int(offsets[rows.stop])]
-                characters = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-                before = characters[offsets[rows.start : rows.stop] - words.base][own]
-                first = at - words.first[own]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array(own + rows.start)),
-                        *[
-                            pa.array(v.astype(np.int64))
-                            for v in (
-                                own + rows.start + row,
-                                characters[words.starts[at]] - before,
-                                characters[words.ends[at + size - 1]] - before,
-                                first,
-                                first + size,
-                            )
-                        ],
-                        pa.array(hashes.view(np.int64)),
-                    ],
-                    ["doc_id", "row", "start", "end", "first_word", "last_word", "span"],
-                )
-            row += batch.num_rows
-
-    return scan
 
+        def found(batch, chunk, rows, seq, first, last, node, span, bits):
+            words, before = chunk.words, chunk.characters()
+            own = rows - chunk.rows.start
+            row_word = np.searchsorted(words.starts, chunk.row_starts)[own]
+            row_character = before[chunk.row_starts[own]]
+            numbers = {
+                "row": rows + row,
+                "start": before[words.starts[first]] - row_character,
+                "end": before[words.ends[last - 1]] - row_character,
+                "first_word": first - row_word,
+                "last_word": last - row_word,
+            }
+            empty = pa.nulls(len(rows), pa.int64())
+            columns = {
+                "doc_id": batch.column("doc_id").take(pa.array(rows)),
+                "seq": empty.cast(pa.int32()) if seq is None else pa.array(seq.astype(np.int32)),
+                **{name: pa.array(values.astype(np.int64)) for name, values in numbers.items()},
+                "node": empty if node is None else pa.array(node),
+                "span": empty if span is None else pa.array(span),
+                **{c: empty if bits is None else pa.array(bits[:, i]) for i, c in enumerate(sketch_columns(SKETCH))},
+            }
+            names = ["doc_id", *[f.split()[0] for f in FOUND.split(", ")], *sketch_columns(SKETCH)]
+            return pa.RecordBatch.from_arrays([columns[name] for name in names], names)
 
-def _scan_lines(shingle: int, least: int) -> Callable:
-    def scan(batches):
-        from pyspark import TaskContext
-
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lines in line_sets(batch.column("text"), shingle, least):
-                bits = sketches(lines.shingles, lines.bounds, SKETCH)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array(lines.row)),
-                        pa.array(lines.row + row),
-                        pa.array(lines.seq.astype(np.int32)),
-                        *[pa.array(v.astype(np.int64)) for v in (lines.start, lines.end, lines.first_word, lines.last_word)],
-                        pa.array(lines.node),
-                        *[pa.array(bits[:, i]) for i in range(SKETCH)],
-                    ],
-                    ["doc_id", "row", "seq", "start", "end", "first_word", "last_word", "node", *sketch_columns(SKETCH)],
-                )
+            for chunk in text_chunks(batch.column("text")):
+                lines = lines_of(chunk, shingle, least)
+                if lines is not None:
+                    bits = sketches(lines.shingles, lines.bounds, SKETCH)
+                    yield found(batch, chunk, lines.row, lines.seq, lines.first, lines.last, lines.node, None, bits)
+                words = chunk.words._replace(first=np.searchsorted(chunk.words.starts, chunk.row_starts))
+                at, hashes = chosen_spans(words, size, choice)
+                if len(at):
+                    rows = np.searchsorted(words.first, at, "right") - 1 + chunk.rows.start
+                    yield found(batch, chunk, rows, None, at, at + size, None, hashes.view(np.int64), None)
             row += batch.num_rows
 
     return scan
@@ -268,11 +280,27 @@ def _scan_members(shingle: int, least: int, asked) -> Callable:
     return scan
 
 
+def find_paragraphs(
+    docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST_PARAGRAPH, size: int = SPAN, choice: int = SPAN_CHOICE
+) -> DataFrame:
+    """The lines and chosen spans of `docs` (doc_id, text), stored: (doc_id, FOUND, sketch). Rows get their numbers in
+    this one pass, so that lines and spans of a row stay together even if the input would come in another order again."""
+    texts = docs.select("doc_id", "text")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    bits = ", ".join(f"{c} long" for c in sketch_columns(SKETCH))
+    return store(texts.mapInArrow(_scan_found(shingle, least, size, choice), f"doc_id {kind}, {FOUND}, {bits}"))
+
+
 def repeated_paragraphs(
-    docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST_PARAGRAPH, bands: int = BANDS, rows: int = BAND_ROWS
+    docs: DataFrame,
+    found: DataFrame,
+    shingle: int = SHINGLE,
+    least: int = LEAST_PARAGRAPH,
+    bands: int = BANDS,
+    rows: int = BAND_ROWS,
 ) -> DataFrame:
     """Paragraphs that are in several rows of `docs` (doc_id, text), exactly or nearly: (doc_id, row,
-    seq, start, end, first_word, last_word, class_id, first_doc_id, first).
+    seq, start, end, first_word, last_word, class_id, first_doc_id, first). `found`: `find_paragraphs` of them.
 
     A paragraph is a line of at least `least` words (A-Z lower-cased, between ASCII white space);
     two are alike when their sets of `shingle`-word shingles have 100 * intersection >= 80 *
@@ -282,19 +310,14 @@ def repeated_paragraphs(
     given. Null and empty texts have none; rows that repeat a doc_id are texts of their own.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text")
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("text")
     bits = sketch_columns(SKETCH)
-    lines = store(
-        texts.mapInArrow(
-            _scan_lines(shingle, least), f"doc_id {kind}, {LINES}, {', '.join(f'{c} long' for c in bits)}"
-        )
-    )
-    entries = texts.select("text").mapInArrow(_scan_bands(shingle, least, bands, rows), ENTRY)
+    lines = found.where("node IS NOT NULL").drop("span")
+    entries = texts.mapInArrow(_scan_bands(shingle, least, bands, rows), ENTRY)
 
     def members(asked: bytes) -> DataFrame:
         sent = spark.sparkContext.broadcast(asked)
-        return texts.select("text").mapInArrow(_scan_members(shingle, least, sent), SETS)
+        return texts.mapInArrow(_scan_members(shingle, least, sent), SETS)
 
     labels = link_sets(entries, members, lines.select("node", *bits))
     labelled = lines.drop(*bits).join(labels, "node", "left").withColumn("class_id", F.coalesce("label", "node"))
@@ -312,16 +335,14 @@ def repeated_paragraphs(
     )
 
 
-def repeated_spans(docs: DataFrame, size: int = SPAN, choice: int = SPAN_CHOICE) -> DataFrame:
-    """Spans of `size` words that are in several rows of `docs` (doc_id, text) verbatim, but for the case of
+def repeated_spans(found: DataFrame) -> DataFrame:
+    """Spans of `find_paragraphs` that are in several rows verbatim, but for the case of
     A-Z and white space: (doc_id, row, start, end, first_word, last_word, first_doc_id, first).
 
     Rows that have `size + choice - 1` words in a row in common share a span within them. first_doc_id is the least
     document with the span; `first` is true in its first row. Null and empty texts have none.
     """
-    texts = docs.select("doc_id", "text")
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    spans = store(texts.mapInArrow(_scan_spans(size, choice), f"doc_id {kind}, {SPANS}"))
+    spans = found.where("span IS NOT NULL")
     shared = (
         spans.groupBy("span")
         .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("doc_id", "row")).alias("one"))
@@ -335,7 +356,14 @@ def repeated_spans(docs: DataFrame, size: int = SPAN, choice: int = SPAN_CHOICE)
     )
 
 
-def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame,
+    least_words: int = LEAST_WORDS,
+    shingle: int = SHINGLE,
+    least: int = LEAST_PARAGRAPH,
+    bands: int = BANDS,
+    rows: int = BAND_ROWS,
+) -> DataFrame:
     """Repeated passages: (doc_id, start, end, n_words, n_paragraphs, n_removed, n_spans, n_spans_removed,
     first_doc_id).
 
@@ -343,15 +371,16 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options
     repeated spans, or of both where they overlap. Shorter lines between do not end a run of
     lines. So a passage that two rows have verbatim is found if it has SPAN + SPAN_CHOICE - 1 words, to within
     SPAN_CHOICE - 1 words at either end. n_paragraphs and n_spans count lines and spans, n_removed and
-    n_spans_removed those that are not the first of their class; first_doc_id is the least document with one of them. `options` are those of
-    `repeated_paragraphs`. Null and empty texts have no passages, an empty table gives no rows.
+    n_spans_removed those that are not the first of their class; first_doc_id is the least document with one of them; a row
+    without a doc_id counts as least of all, and gives a null if it is the first of all of the passage's paragraphs. Null and empty texts have no passages, an empty table gives no rows.
     """
-    found = repeated_paragraphs(docs, **options)
+    found = find_paragraphs(docs, shingle, least)
+    lines = repeated_paragraphs(docs, found, shingle, least, bands, rows)
     order = Window.partitionBy("row").orderBy("seq")
     new = F.coalesce(F.col("seq") != F.lag("seq").over(order) + 1, F.lit(True))
-    runs = found.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
+    runs = lines.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
     runs = _passages(runs).where(F.col("last_word") - F.col("first_word") >= least_words)
-    spans = repeated_spans(docs).withColumns(
+    spans = repeated_spans(found).withColumns(
         {"n_paragraphs": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(1).cast("long")}
     )
     runs = runs.drop("run").withColumn("n_spans", F.lit(0).cast("long"))
