@@ -14,7 +14,9 @@ sets that are alike are used to skip work:
   overlap is skipped as a whole, before its entries are read.
 * *Skipping by sketch.* A set's sketch has a bit per bucket: is the number of its members there odd?
   Two sets differ in at least as many members as their sketches do in bits, so that
-  pairs whose sketches are too far apart are never made.
+  pairs whose sketches are too far apart are never made. A block keeps the bits that all its sets
+  have and those that any has, which bounds the same difference for blocks: a pair of blocks, or of a set and a block,
+  that is too far apart is skipped as a whole.
 
 A list with very many entries is dealt over shards by node for the first step; blocks
 come from partial aggregates, and blocks meet entries in equi-joins that Spark may split.
@@ -131,6 +133,16 @@ def _differ(bits: list[str]) -> str:
     return " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in bits)
 
 
+def _differ_at_least(bits: list[str]) -> str:
+    """So many members at least are in one set only of any two sets of blocks a and b."""
+    return " + ".join(f"bit_count((all_{c}_a & ~any_{c}_b) | (all_{c}_b & ~any_{c}_a))" for c in bits)
+
+
+def _differ_from_block(bits: list[str]) -> str:
+    """So many members at least are in one only of set a and any set of block b."""
+    return " + ".join(f"bit_count(({c}_a & ~any_{c}_b) | (all_{c}_b & ~{c}_a))" for c in bits)
+
+
 def _nearest(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """Of pairs (a, b, n), n the sum of their sizes, those near enough by sketch: for each a the LEADERS nearest b."""
     bits = [c for c in sketched.columns if c != "node"]
@@ -172,6 +184,7 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
     blocks = labelled.groupBy("token", "label", "band", "place").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("first"),
         F.max(F.col("n") - F.col("pos")).alias("rest"),
+        *[F.bit_and(c).alias(f"all_{c}") for c in bits], *[F.bit_or(c).alias(f"any_{c}") for c in bits],
     )
     spans = blocks.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     live = spans.where("lo <> hi").select("token")
@@ -183,9 +196,11 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
     pairs = side("a").join(side("b"), "token").where(
         "label_a < label_b AND 5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a "
         "AND 9 * least(rest_a, rest_b) >= 4 * (least_a + least_b)"
+        f" AND 9 * ({_differ_at_least(bits)}) <= most_a + most_b"
     )
     keys = [f"{c}_{name}" for name in "ab" for c in ("label", "band", "place")]
-    pairs = pairs.select("token", *keys)
+    bounds = [f"{c}_b" for c in ("least", "most", "rest", *[f"{of}_{c}" for of in ("all", "any") for c in bits])]
+    pairs = pairs.select("token", *keys, *bounds)
 
     def entries(name: str) -> DataFrame:
         return labelled.select(
@@ -193,7 +208,11 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
             *[F.col(c).alias(f"{c}_{name}") for c in ("label", "band", "place", "node", "n", "pos", *bits)],
         )
 
-    met = pairs.join(entries("a"), ["token", "label_a", "band_a", "place_a"])
+    met = pairs.join(entries("a"), ["token", "label_a", "band_a", "place_a"]).where(
+        "5 * n_a >= 4 * least_b AND 5 * most_b >= 4 * n_a "
+        "AND 9 * least(n_a - pos_a, rest_b) >= 4 * (n_a + least_b)"
+        f" AND 9 * ({_differ_from_block(bits)}) <= n_a + most_b"
+    ).drop(*bounds)
     met = met.join(entries("b"), ["token", "label_b", "band_b", "place_b"])
     met = met.where(
         "5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a "
