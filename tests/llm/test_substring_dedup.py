@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from turnmill.llm import substring_dedup
 from turnmill.llm.queries import QUERIES
-from turnmill.llm.substring_dedup import _distinct, repeated_passages
+from turnmill.checkpoints import store
+from turnmill.llm.substring_dedup import _distinct, repeated_passages, with_classes
 
 
 @pytest.mark.parametrize("clash", [False, True])
@@ -65,6 +66,57 @@ def test_very_many_copies_of_a_passage_stay_whole(spark):
     assert all(row.n_words >= substring_dedup.LEAST_WORDS for row in found)
 
 
+@pytest.mark.parametrize(("hot_rows", "most"), [(1000, 10), (5, 10), (1, 1), (1, 10)])
+def test_classes_meet_their_rows_hot_or_not(spark, hot_rows, most):
+    keys = [1] * 40 + [2] * 6 + [3] * 5 + [4] + [None] * 3 + [9] * 2
+    rows = store(spark.createDataFrame(list(enumerate(keys)), "row long, span long"))
+    classes = rows.where("span < 9").groupBy("span").agg(F.count("*").alias("n"), F.min("row").alias("one"))
+    found = sorted(tuple(row) for row in with_classes(rows, classes, "span", hot_rows, most).collect())
+    assert found == sorted((key, row, keys.index(key)) for row, key in enumerate(keys) if key in (1, 2, 3, 4))
+    none = with_classes(rows, classes.where("false"), "span", hot_rows, most)
+    assert none.count() == 0 and none.columns == ["span", "row", "one"]
+
+
+def test_near_copies_with_other_near_copies_close_by(spark):
+    """Two groups of 150 lines each: alike inside, and too far apart for a link although they share most words."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    other = list(base)
+    for i in range(0, 120, 12):
+        other[i] = f"x{i}"
+    rows = []
+    for number, words in enumerate((base, other)):
+        for copy in range(150):
+            own = list(words)
+            own[rng.randrange(120)] = f"own{number}-{copy}"
+            rows.append((number * 1000 + copy, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = substring_dedup.find_paragraphs(df)
+    classes = substring_dedup.repeated_paragraphs(df, found).collect()
+    named = {row.doc_id: row.class_id for row in classes}
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = {doc: shingles(text) for doc, text in rows}
+    label = {doc: doc for doc, _ in rows}
+
+    def root(doc):
+        while label[doc] != doc:
+            doc = label[doc]
+        return doc
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                label[root(b)] = root(a)
+    assert set(named) == set(sets)
+    for a in sets:
+        for b in sets:
+            assert (named[a] == named[b]) == (root(a) == root(b))
+
+
 def test_op10_covers_repeated_windows(spark, sf_dir):
     """Held against all 51-word windows that are in two rows or more: every such document is found."""
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()

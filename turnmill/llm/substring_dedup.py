@@ -41,10 +41,14 @@ LEAST_WORDS = 50
 LEAST_PARAGRAPH = 5
 NEWLINE = 0x0A
 # A line is sketched in so many 64-bit words.
-SKETCH = 1
+SKETCH = 4
 # Words of a span, and of how many spans in a row the one with the least hash is chosen. Texts with
 # SPAN + SPAN_CHOICE - 1 = 51 words in common share a chosen span.
 SPAN, SPAN_CHOICE = 35, 17
+# Classes with so many rows, and at least this share of all rows, are joined to their rows by a broadcast.
+# There are MAX_HOT of them at most, a row each.
+HOT_ROWS = 10_000
+MAX_HOT = 1 << 14
 
 
 class Chunk(NamedTuple):
@@ -320,21 +324,45 @@ def repeated_paragraphs(
         return texts.mapInArrow(_scan_members(shingle, least, sent), SETS)
 
     labels = link_sets(entries, members, lines.select("node", *bits))
-    labelled = lines.drop(*bits).join(labels, "node", "left").withColumn("class_id", F.coalesce("label", "node"))
+    # Copies of a line meet in partial aggregates; classes are made of one row for each different line.
     place = F.struct("doc_id", "row", "seq")
+    nodes = lines.groupBy("node").agg(
+        F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(place).alias("one"), F.count("*").alias("n")
+    )
+    nodes = store(
+        nodes.join(labels, "node", "left").withColumn("class_id", F.coalesce("label", "node")).drop("label")
+    )
     classes = (
-        labelled.groupBy("class_id")
-        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(place).alias("one"))
+        nodes.groupBy("class_id")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("one").alias("one"), F.count("*").alias("n"))
         .where("lo <> hi")
-        .select("class_id", "one")
+        .select("class_id", "one", "n")
     )
-    return labelled.join(classes, "class_id").select(
+    named = with_classes(nodes.select("node", "class_id", F.col("n").alias("lines")), classes, "class_id")
+    named = named.withColumnRenamed("lines", "n")
+    return with_classes(lines.drop(*bits), named, "node").select(
         "doc_id", "row", "seq", "start", "end", "first_word", "last_word", "class_id",
         F.col("one.doc_id").alias("first_doc_id"),
         ((F.col("row") == F.col("one.row")) & (F.col("seq") == F.col("one.seq"))).alias("first"),
     )
 
 
+def with_classes(rows: DataFrame, classes: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = MAX_HOT) -> DataFrame:
+    """Stored `rows` joined to `classes` (key, n, ...), where n counts the rows of a key.
+
+    Classes that hold many of the rows, `most` at most, are broadcast, so that their rows stay where they are; the
+    others are met in a shuffle. Null keys meet nothing.
+    """
+    classes = store(classes)
+    total, largest = classes.agg(F.sum("n"), F.max("n")).first()
+    least = max(hot_rows, -(-(total or 0) // most) + 1)
+    if (largest or 0) < least:
+        return rows.join(classes.drop("n"), key)
+    hot = F.broadcast(classes.where(F.col("n") >= least).drop("n"))
+    cold = classes.where(F.col("n") < least).drop("n")
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
 def repeated_spans(found: DataFrame) -> DataFrame:
     """Spans of `find_paragraphs` that are in several rows verbatim, but for the case of
     A-Z and white space: (doc_id, row, start, end, first_word, last_word, first_doc_id, first).
@@ -345,11 +373,14 @@ def repeated_spans(found: DataFrame) -> DataFrame:
     spans = found.where("span IS NOT NULL")
     shared = (
         spans.groupBy("span")
-        .agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("doc_id", "row")).alias("one"))
+        .agg(
+            F.min("row").alias("lo"), F.max("row").alias("hi"), F.min(F.struct("doc_id", "row")).alias("one"),
+            F.count("*").alias("n"),
+        )
         .where("lo <> hi")
-        .select("span", "one")
+        .select("span", "one", "n")
     )
-    return spans.join(shared, "span").select(
+    return with_classes(spans, shared, "span").select(
         "doc_id", "row", "start", "end", "first_word", "last_word",
         F.col("one.doc_id").alias("first_doc_id"),
         (F.col("row") == F.col("one.row")).alias("first"),
