@@ -14,9 +14,9 @@ sets that are alike are used to skip work:
   overlap is skipped as a whole, before its entries are read.
 * *Skipping by sketch.* A set's sketch has a bit per bucket: is the number of its members there odd?
   Two sets differ in at least as many members as their sketches do in bits, so that
-  pairs whose sketches are too far apart are never made. A block keeps the bits that all its sets
-  have and those that any has, which bounds the same difference for blocks: a pair of blocks, or of a set and a block,
-  that is too far apart is skipped as a whole.
+  pairs whose sketches are too far apart are never made. With `bound_blocks`, a block keeps the bits that all its
+  sets have and those that any has, which bounds the same difference for blocks: a pair of blocks, or of a set and a
+  block, that is too far apart is skipped as a whole. That pays where a set is in few lists, as with bands.
 
 A list with very many entries is dealt over shards by node for the first step; blocks
 come from partial aggregates, and blocks meet entries in equi-joins that Spark may split.
@@ -63,11 +63,12 @@ def sketches(shingles: np.ndarray, bounds: np.ndarray, words: int) -> np.ndarray
     return np.packbits(odd.reshape(count, bits), axis=1).view(np.int64)
 
 
-def link_sets(entries: DataFrame, members: Members, sketched: DataFrame) -> DataFrame:
+def link_sets(entries: DataFrame, members: Members, sketched: DataFrame, bound_blocks: bool = False) -> DataFrame:
     """(node, label) of every set that is linked with another: label is the least node
     reachable by links. `members(filter)` gives SETS rows for all nodes that
     `may_contain(filter, node)`, and maybe more; a node may come up repeatedly.
-    `sketched` has each node with its sketch in all other columns, repeatedly maybe.
+    `sketched` has each node with its sketch in all other columns, repeatedly maybe. The
+    links are the same with and without `bound_blocks`.
     """
     shared = _shared_lists(entries)
     bits = [c for c in sketched.columns if c != "node"]
@@ -75,7 +76,7 @@ def link_sets(entries: DataFrame, members: Members, sketched: DataFrame) -> Data
     pairs = store(_leader_pairs(shared, sketched))
     sets = _asked_sets(pairs, members)
     labels = store(connected_components(store(_linked_pairs(pairs, sets))))
-    others = store(_cross_label_pairs(shared, labels, sketched))
+    others = store(_cross_label_pairs(shared, labels, sketched, bound_blocks))
     if others.isEmpty():
         return labels
     second = store(_linked_pairs(others, _asked_sets(others, members)))
@@ -171,10 +172,13 @@ def _leader_pairs(shared: DataFrame, sketched: DataFrame) -> DataFrame:
     return _nearest(distinct, sketched)
 
 
-def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame) -> DataFrame:
+def _cross_label_pairs(
+    shared: DataFrame, labels: DataFrame, sketched: DataFrame, bound_blocks: bool = False
+) -> DataFrame:
     """(a, b): all pairs of sets in a common list that have different labels, room enough and
     sketches near enough."""
     bits = [c for c in sketched.columns if c != "node"]
+    kept = bits if bound_blocks else []
     known = sketched.join(labels, "node", "left")
     labelled = shared.join(known, "node").select(
         "token", "node", "n", "pos", "band", *bits,
@@ -184,7 +188,7 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
     blocks = labelled.groupBy("token", "label", "band", "place").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("first"),
         F.max(F.col("n") - F.col("pos")).alias("rest"),
-        *[F.bit_and(c).alias(f"all_{c}") for c in bits], *[F.bit_or(c).alias(f"any_{c}") for c in bits],
+        *[F.bit_and(c).alias(f"all_{c}") for c in kept], *[F.bit_or(c).alias(f"any_{c}") for c in kept],
     )
     spans = blocks.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     live = spans.where("lo <> hi").select("token")
@@ -193,13 +197,14 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
     def side(name: str) -> DataFrame:
         return blocks.select("token", *[F.col(c).alias(f"{c}_{name}") for c in blocks.columns if c != "token"])
 
+    apart = f"9 * ({_differ_at_least(kept)}) <= most_a + most_b" if kept else "true"
     pairs = side("a").join(side("b"), "token").where(
         "label_a < label_b AND 5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a "
         "AND 9 * least(rest_a, rest_b) >= 4 * (least_a + least_b)"
-        f" AND 9 * ({_differ_at_least(bits)}) <= most_a + most_b"
+        f" AND {apart}"
     )
     keys = [f"{c}_{name}" for name in "ab" for c in ("label", "band", "place")]
-    bounds = [f"{c}_b" for c in ("least", "most", "rest", *[f"{of}_{c}" for of in ("all", "any") for c in bits])]
+    bounds = [f"{c}_b" for c in ("least", "most", "rest", *[f"{of}_{c}" for of in ("all", "any") for c in kept])]
     pairs = pairs.select("token", *keys, *bounds)
 
     def entries(name: str) -> DataFrame:
@@ -208,10 +213,11 @@ def _cross_label_pairs(shared: DataFrame, labels: DataFrame, sketched: DataFrame
             *[F.col(c).alias(f"{c}_{name}") for c in ("label", "band", "place", "node", "n", "pos", *bits)],
         )
 
+    apart = f"9 * ({_differ_from_block(kept)}) <= n_a + most_b" if kept else "true"
     met = pairs.join(entries("a"), ["token", "label_a", "band_a", "place_a"]).where(
         "5 * n_a >= 4 * least_b AND 5 * most_b >= 4 * n_a "
         "AND 9 * least(n_a - pos_a, rest_b) >= 4 * (n_a + least_b)"
-        f" AND 9 * ({_differ_from_block(bits)}) <= n_a + most_b"
+        f" AND {apart}"
     ).drop(*bounds)
     met = met.join(entries("b"), ["token", "label_b", "band_b", "place_b"])
     met = met.where(

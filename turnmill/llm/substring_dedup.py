@@ -323,7 +323,7 @@ def repeated_paragraphs(
         sent = spark.sparkContext.broadcast(asked)
         return texts.mapInArrow(_scan_members(shingle, least, sent), SETS)
 
-    labels = link_sets(entries, members, lines.select("node", *bits))
+    labels = link_sets(entries, members, lines.select("node", *bits), bound_blocks=True)
     # Copies of a line meet in partial aggregates; classes are made of one row for each different line.
     place = F.struct("doc_id", "row", "seq")
     nodes = lines.groupBy("node").agg(
