@@ -179,10 +179,50 @@ def contamination_sql() -> str:
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def url_sql() -> str:
+    """The longest rule by a list of cases, longest first; without one, whether the canonical URL is listed."""
+
+    def fits(host: str, path: str) -> str:
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+    rules = (
+        ("block", "example.org", "/en/1"),
+        ("block", "example.org", "/es/"),
+        ("allow", "com", "/fr/"),
+        ("block", "com", "/de/"),
+        ("allow", "org", "/"),
+    )
+    named = " ".join(f"WHEN {fits(host, path)} THEN '{host}{path}'" for _, host, path in rules)
+    judged = " ".join(f"WHEN {fits(host, path)} THEN '{verdict}'" for verdict, host, path in rules)
+    return rf"""WITH u AS (
+            SELECT page_id, coalesce(url, '') AS url,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        q AS (
+            SELECT *, array_to_string(list_sort(list_filter(
+                       string_split(regexp_extract(url, '(?s)\A[^?#]*\?([^#]*)', 1), '&'),
+                       lambda p: p <> '' AND NOT regexp_matches(p, '\A(?:utm_[a-z]+|ref|fbclid|gclid)(?:=|\z)')
+                   )), '&') AS query
+            FROM u),
+        k AS MATERIALIZED (
+            SELECT *, regexp_replace(host, '\A(?:www|m)\.', '') || regexp_replace(path, '/+\z', '')
+                      || CASE WHEN coalesce(query, '') <> '' THEN '?' || query ELSE '' END AS key
+            FROM q),
+        listed AS (
+            SELECT DISTINCT key, true AS hit FROM k
+            WHERE regexp_matches(host, '(?:spam|pills|casino|adult|porn|xxx|warez|betting)'))
+        SELECT page_id, host, path, CASE {named} END AS rule,
+               coalesce(CASE {judged} END, CASE WHEN hit THEN 'block' ELSE 'allow' END) AS verdict
+        FROM k LEFT JOIN listed USING (key)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": jaccard_sql(),
     "op2_chat_format": chat_sql(),
     "op5_decontamination": contamination_sql(),
+    "op8_url_filter": url_sql(),
     "op11_centroid_clustering": clustering_sql(),
     "op13_prefix_trie": prefix_sql(),
 }
