@@ -45,9 +45,8 @@ SKETCH = 4
 # Words of a span, and of how many spans in a row the one with the least hash is chosen. Texts with
 # SPAN + SPAN_CHOICE - 1 = 51 words in common share a chosen span.
 SPAN, SPAN_CHOICE = 35, 17
-# Classes with so many rows, and at least one in MAX_HOT of all rows, are joined to their rows by a broadcast:
-# MAX_HOT of them at most, a row each.
-HOT_ROWS = 10_000
+# Classes with at least one in MAX_HOT of all rows are joined to their rows by a broadcast: MAX_HOT of them at most,
+# a row each.
 MAX_HOT = 1 << 14
 
 
@@ -347,15 +346,15 @@ def repeated_paragraphs(
     )
 
 
-def with_classes(rows: DataFrame, classes: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = MAX_HOT) -> DataFrame:
+def with_classes(rows: DataFrame, classes: DataFrame, key: str, most: int = MAX_HOT) -> DataFrame:
     """Stored `rows` joined to `classes` (key, n, ...), where n counts the rows of a key.
 
     Classes that hold many of the rows, `most` at most, are broadcast, so that their rows stay where they are; the
-    others are met in a shuffle. It is the same plan whether there are such classes or not. Null keys meet nothing.
+    others are met in a shuffle. What counts as many is a share of the rows, alike at every size. Null keys meet nothing.
     """
     classes = store(classes)
     total = classes.agg(F.sum("n")).first()[0] or 0
-    least = max(hot_rows, -(-total // most))
+    least = -(-total // most)
     hot = F.broadcast(classes.where(F.col("n") >= least).drop("n"))
     cold = classes.where(F.col("n") < least).drop("n")
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
