@@ -186,6 +186,107 @@ def test_context_trees_predict_as_sequential_mixing_does():
         assert math.isclose(chances[context], math.exp(weighted(zeros, more) - weighted(zeros, ones)), rel_tol=1e-6)
 
 
+def tree_scores(training, texts):
+    """log10 probability of each text, by trees of byte contexts built and mixed node by node."""
+    pad = b"\xff" * context_tree.DEPTH
+
+    def steps(text):
+        stream = pad + text.encode() + b"\xff"
+        for at in range(len(pad), len(stream)):
+            past, byte = stream[at - len(pad) : at][::-1], stream[at]
+            for bit in range(8):
+                yield past, (1 << bit) | (byte >> (8 - bit)), (byte >> (7 - bit)) & 1
+
+    nodes = {}
+    for text in training:
+        for past, decision, one in steps(text):
+            for depth in range(len(pad) + 1):
+                nodes.setdefault((decision, past[:depth]), [0, 0])[one] += 1
+    below = {}
+    for decision, past in nodes:
+        if past:
+            below.setdefault((decision, past[:-1]), []).append((decision, past))
+
+    def own(node):
+        zeros, ones = nodes[node]
+        parts = [(math.lgamma(c + 0.5) - math.lgamma(0.5)) for c in (zeros, ones)]
+        return sum(parts) - math.lgamma(zeros + ones + 1)
+
+    weighted = {}
+    for node in sorted(nodes, key=lambda node: -len(node[1])):
+        children = sum(weighted[child] for child in below.get(node, []))
+        leaf = len(node[1]) == len(pad)
+        weighted[node] = own(node) if leaf else np.logaddexp(own(node), children) - math.log(2)
+
+    def chance(decision, past, depth=0):
+        node = (decision, past[:depth])
+        if node not in nodes:
+            return 0.5
+        zeros, ones = nodes[node]
+        here = (ones + 0.5) / (zeros + ones + 1)
+        if (decision, past[: depth + 1]) not in nodes or depth == len(pad):
+            return here
+        share = math.exp(own(node) - math.log(2) - weighted[node])
+        return share * here + (1 - share) * chance(decision, past, depth + 1)
+
+    def score(text):
+        chances = ((one, chance(decision, past)) for past, decision, one in steps(text))
+        return math.fsum(math.log10(c if one else 1 - c) for one, c in chances)
+
+    return [score(text) for text in texts]
+
+
+def test_scores_are_those_of_trees_mixed_node_by_node(spark):
+    rng = random.Random(8)
+    words = ["then", "other", "Breath", "é😀", "x", "theatre"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 12)))) for i in range(40)]
+    rows += [(40, None), (41, "quite different: \u65e5\u672c"), (42, ""), (None, "then other then other"), (3, "then")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.coalesce(F.col("doc_id"), F.lit(0)) % 5 == 1
+    texts = [t or "" for _, t in rows]
+    training = [t for (i, _), t in zip(rows, texts, strict=True) if (i or 0) % 5 != 1]
+    expected = sorted(zip((t.encode() for t in texts), tree_scores(training, texts), strict=True))
+    for limit in (context_tree.MAX_CODES, 60, 0):
+        found = context_tree.score_texts(docs, held, max_codes=limit)
+        assert found.count() == len(rows)
+        assert np.allclose(sorted(r.score for r in found.collect()), sorted(score for _, score in expected), rtol=1e-5), limit
+
+
+def test_scores_use_more_than_two_bytes_of_context(spark):
+    """What follows "her" depends on the byte before it: 1 bit a text less than by two bytes."""
+    rows = [(i, ("ther1" if i % 2 else "pher2") * 40) for i in range(40)] + [(100, "ther1" * 40), (101, "ther2" * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in context_tree.score_texts(docs, F.col("doc_id") >= 100).collect()}
+    assert score[100] > -4 and score[101] < score[100] - 20
+
+
+def test_held_out_scores_are_near_the_base(spark, sf_dir):
+    rows = context_tree.score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).where("held_out")
+    score, base = rows.agg(F.sum("score"), F.sum("base_score")).first()
+    assert score > 1.2 * base
+
+
+def test_chances_of_all_bytes_sum_to_one():
+    rng = np.random.default_rng(3)
+    codes, counts = np.unique(context_tree._codes(rng.integers(97, 101, 3000).astype(np.uint8)), return_counts=True)
+    levels = context_tree.subtree_levels(codes, counts)
+    for _ in range(context_tree.TOP):
+        first = levels[0]
+        levels.insert(0, context_tree.level_above(first.keys, first.zeros, first.ones, first.weighted))
+    levels = context_tree.mix_down(levels)
+    for past in (int(codes[0]) >> 8 << 8, 0x6100000000 << 8, 0x7A7A7A7A7A << 8):
+        assert math.isclose((10.0 ** context_tree.code_scores(past + np.arange(256), levels)).sum(), 1, rel_tol=1e-9)
+
+
+def test_code_table_finds_all_it_has_and_no_other():
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 48, 5000))
+    table = context_tree.CodeTable(codes[::2], np.arange(len(codes[::2]), dtype=float))
+    scores, missed = table.find(codes)
+    assert sorted(missed.tolist()) == list(range(1, len(codes), 2))
+    assert (scores[::2] == np.arange(len(codes[::2]))).all() and (scores[1::2] == 0).all()
+
+
 def test_byte_scores_sum_to_one():
     packed = {1: zlib.compress(np.full(context_tree.CONTEXTS, 0.25, np.float32).tobytes())}
     table = context_tree.byte_scores(packed).reshape(-1, 256)

@@ -1,19 +1,24 @@
 """LM scoring by context-tree weighting over binary-decomposed bytes.
 
-A byte is eight binary decisions. Each decision has a context tree of its own over the bits of the
-two bytes before it, newest first: 17 depths, each with a Krichevsky-Trofimov estimate, mixed by
-their weights after training. A text is its bytes and one end mark, 0xFF, which UTF-8 does not have;
-two end marks stand before it. The model is then a distribution over whole texts.
-
-Training counts 3-byte sequences of all training texts; from there on the model is at most
-2^16 contexts for each of 255 decisions, however large the corpus is.
+A byte is eight binary decisions. Each decision has a context tree of its own over the DEPTH bytes
+before it, newest first: a node for every context of 0 to DEPTH bytes that training has, each with an
+estimate of its own, mixed by their weights after training. Below the deepest node that training has, there is nothing to mix:
+that node's estimate takes the rest. A text is its bytes and one end mark, 0xFF, which UTF-8 does not
+have; DEPTH end marks stand before it. The model is then a distribution over whole texts.
+
+Training counts (DEPTH + 1)-byte sequences of all training texts, as numbers ("codes"): context bytes, newest first, then
+the byte. Sequences with the same two newest bytes are a subtree; subtrees are fitted apart, in groups of
+BUCKETS, and meet in the trees' two top levels, of at most 2^16 nodes. Scores of frequent codes are
+looked up in a broadcast table of bounded size; the others, and codes that training lacks, are scored in their subtrees and
+joined. Both have the same scores.
 """
 
 import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,14 +30,24 @@ from turnmill.checkpoints import store
 from turnmill.llm.words import row_chunks, string_buffers
 
 END = 0xFF
+# Bytes of context; a code has one byte more and fits 56 bits.
+DEPTH = 5
+# Full contexts of two bytes, by bits.
 CONTEXTS = 1 << 16
-DEPTHS = 16
+# Levels above the subtrees.
+TOP = 2
+# Groups of subtrees; one subtree is always in one of them.
+BUCKETS = 512
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Most tokens of the table that is broadcast: some 60 MB in a worker.
 MAX_FREQUENT = 500_000
+# Most codes of the table that is broadcast: 24 MB, and 50 MB in a worker.
+MAX_CODES = 1 << 21
 # A task hands on its token counts when it has this many.
 COUNTED = 400_000
+# The same for its counts of codes.
+COUNTED_CODES = 1 << 21
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -41,60 +56,95 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def _stream(data: np.ndarray, offsets: np.ndarray, rows: range) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of some texts with two end marks before each and one more pair at the end, and the
-    place of each text's first byte; the last entry is one past the last text's end mark and its pair."""
+    """Bytes of some texts with DEPTH end marks before each and as many at the end, and the
+    place of each text's first byte; the last entry is one past the last marks."""
     base = int(offsets[rows.start])
     own = offsets[rows.start : rows.stop + 1] - base
-    starts = own + 2 * np.arange(1, len(own) + 1)
-    stream = np.full(int(own[-1]) + 2 * len(own), END, np.uint8)
+    starts = own + DEPTH * np.arange(1, len(own) + 1)
+    stream = np.full(int(own[-1]) + DEPTH * len(own), END, np.uint8)
     text = data[base : base + int(own[-1])]
     row_of = np.repeat(np.arange(len(own) - 1), np.diff(own))
-    stream[np.arange(len(text)) + 2 * (row_of + 1)] = text
+    stream[np.arange(len(text)) + DEPTH * (row_of + 1)] = text
     return stream, starts
 
 
-def _triples(stream: np.ndarray) -> np.ndarray:
-    """For each byte from the third on: newest context byte, older one, the byte."""
+def _codes(stream: np.ndarray) -> np.ndarray:
+    """For each byte from place DEPTH on: the bytes before it, newest first, and the byte."""
     wide = stream.astype(np.int64)
-    return (wide[1:-1] << 16) | (wide[:-2] << 8) | wide[2:]
+    count = len(stream) - DEPTH
+    codes = wide[DEPTH:].copy()
+    for back in range(1, DEPTH + 1):
+        codes |= wide[DEPTH - back : DEPTH - back + count] << (8 * (DEPTH + 1 - back))
+    return codes
+
+
+def _unscored(starts: np.ndarray) -> np.ndarray:
+    """Codes of end marks that are not part of any text: all but the first after it."""
+    return (starts[1:, None] - np.arange(DEPTH + 1, 2 * DEPTH)).ravel()
+
+
+class CodeCounts:
+    """Counts of codes, merged now and then."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, codes: np.ndarray) -> None:
+        self.parts.append(np.unique(codes, return_counts=True))
+        self.size += len(self.parts[-1][0])
+        if self.size > 2 * COUNTED_CODES:
+            self._merge()
+
+    def _merge(self) -> None:
+        codes = np.concatenate([np.zeros(0, np.int64), *[part[0] for part in self.parts]])
+        counts = np.concatenate([np.zeros(0, np.int64), *[part[1] for part in self.parts]])
+        order = np.argsort(codes)
+        codes, counts = codes[order], counts[order]
+        first = np.flatnonzero(np.diff(codes, prepend=-1))
+        self.parts = [(codes[first], np.add.reduceat(counts, first) if len(first) else counts)]
+        self.size = len(first)
 
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        """All counts as COUNTS rows; none are left."""
+        self._merge()
+        codes, counts = self.parts[0]
+        self.parts, self.size = [], 0
+        for at in range(0, len(codes), 1 << 16):
+            own = slice(at, at + (1 << 16))
+            names = pa.nulls(len(codes[own]), pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(codes[own]), pa.array(counts[own])], ["token", "code", "n"])
 
-COUNTS = "token string, triple int, n long"
+
+COUNTS = "token string, code long, n long"
 
 
 def _count_training() -> Callable:
-    def counted(tokens: Counter, triples: np.ndarray | None):
+    def counted(tokens: Counter):
         names = pa.array(list(tokens.keys()), pa.string())
         yield pa.RecordBatch.from_arrays(
-            [names, pa.nulls(len(tokens), pa.int32()), pa.array(list(tokens.values()), pa.int64())],
-            ["token", "triple", "n"],
+            [names, pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens.values()), pa.int64())],
+            ["token", "code", "n"],
         )
-        if triples is not None:
-            seen = np.flatnonzero(triples)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(triples[seen])],
-                ["token", "triple", "n"],
-            )
 
     def scan(batches):
-        tokens, triples = Counter(), np.zeros(1 << 24, np.int64)
+        tokens, counts = Counter(), CodeCounts()
         for batch in batches:
             column = batch.column("text")
             for text in column.to_pylist():
                 if text:
                     tokens.update(WORD.findall(text.translate(LOWER) if not text.isascii() else text.lower()))
                 if len(tokens) > COUNTED:
-                    yield from counted(tokens, None)
+                    yield from counted(tokens)
                     tokens = Counter()
             data, offsets = string_buffers(column)
             for rows in row_chunks(offsets):
                 stream, starts = _stream(data, offsets, rows)
-                codes = _triples(stream)
-                # The second mark of a pair is not part of any text.
-                scored = np.ones(len(codes), bool)
-                scored[starts[1:] - 3] = False
-                np.add.at(triples, codes[scored], 1)
-        yield from counted(tokens, triples)
+                counts.add(np.delete(_codes(stream), _unscored(starts)))
+                if counts.size > COUNTED_CODES:
+                    yield from counts.taken()
+        yield from counted(tokens)
+        yield from counts.taken()
 
     return scan
 
@@ -112,6 +162,199 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
+class Level(NamedTuple):
+    """Nodes of one depth by ascending key: context bytes, newest first, then the decision in one byte.
+
+    Decision 1 is a byte's first bit; decision d is followed by 2d or 2d + 1.
+    """
+
+    keys: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    # Log probability of the training data, weighted over the depths from here on.
+    weighted: np.ndarray
+    # The share of a node's own estimate in that.
+    own: np.ndarray
+
+    def chance(self) -> np.ndarray:
+        """P(1) by the nodes' own estimates."""
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1)
+
+
+def leaves(codes: np.ndarray, counts: np.ndarray) -> Level:
+    """The deepest level, from different codes and their counts."""
+    keys, ones = [], []
+    for bit in range(8):
+        keys.append((codes >> 8 << 8) | (1 << bit) | ((codes & 255) >> (8 - bit)))
+        ones.append((codes >> (7 - bit)) & 1)
+    keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, np.tile(counts, 8), len(keys))
+    one = np.bincount(place, np.tile(counts, 8) * np.concatenate(ones), len(keys))
+    return Level(keys, total - one, one, _log_kt(total - one, one), np.ones(len(keys)))
+
+
+def parents(keys: np.ndarray) -> np.ndarray:
+    """Keys of the nodes one byte less deep."""
+    return (keys >> 16 << 8) | (keys & 255)
+
+
+def level_above(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> Level:
+    """The level above these nodes. A node's weight for its own estimate, against its children's, is its
+    share of the weighted probability of the training data."""
+    keys, place = np.unique(parents(keys), return_inverse=True)
+    zeros, ones = np.bincount(place, zeros, len(keys)), np.bincount(place, ones, len(keys))
+    own = _log_kt(zeros, ones) - math.log(2)
+    both = np.logaddexp(own, np.bincount(place, weighted, len(keys)) - math.log(2))
+    return Level(keys, zeros, ones, both, np.exp(own - both))
+
+
+def subtree_levels(codes: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """Levels of depth TOP to DEPTH."""
+    levels = [leaves(codes, counts)]
+    for _ in range(DEPTH - TOP):
+        below = levels[0]
+        levels.insert(0, level_above(below.keys, below.zeros, below.ones, below.weighted))
+    return levels
+
+
+class Mixed(NamedTuple):
+    """Nodes of one depth: P(1) where they are the deepest of a path, and what goes on to those below:
+    what is already mixed, and the weight that is left."""
+
+    keys: np.ndarray
+    chance: np.ndarray
+    mixed: np.ndarray
+    left: np.ndarray
+
+
+def mix_down(levels: list[Level], above: Mixed | None = None) -> list[Mixed]:
+    """From the topmost level on; `above` has the parents of its nodes."""
+    found = []
+    for level in levels:
+        mixed, left = np.zeros(len(level.keys)), np.ones(len(level.keys))
+        if above is not None:
+            at = np.searchsorted(above.keys, parents(level.keys))
+            mixed, left = above.mixed[at], above.left[at]
+        chance = level.chance()
+        own = left * level.own
+        above = Mixed(level.keys, mixed + left * chance, mixed + own * chance, left - own)
+        found.append(above)
+    return found
+
+
+def code_scores(codes: np.ndarray, levels: list[Mixed]) -> np.ndarray:
+    """log10 P(byte | DEPTH bytes before) of codes, from levels of depth 0 to DEPTH."""
+    total = np.zeros(len(codes))
+    for bit in range(8):
+        decision = (1 << bit) | ((codes & 255) >> (8 - bit))
+        # A decision that never came up is even.
+        chance, open_ = np.full(len(codes), 0.5), np.arange(len(codes))
+        for depth in range(DEPTH, -1, -1):
+            level = levels[depth]
+            if not len(level.keys) or not len(open_):
+                continue
+            keys = (codes[open_] >> (8 * (DEPTH + 1 - depth)) << 8) | decision[open_]
+            at = np.minimum(np.searchsorted(level.keys, keys), len(level.keys) - 1)
+            hit = level.keys[at] == keys
+            chance[open_[hit]] = level.chance[at[hit]]
+            open_ = open_[~hit]
+        total += np.log10(np.where((codes >> (7 - bit)) & 1, chance, 1 - chance))
+    return total
+
+
+def bucket_of(code: str = "code") -> Column:
+    """The group of subtrees that has a code."""
+    return F.pmod(F.xxhash64(F.shiftright(code, 8 * (DEPTH + 1 - TOP))), F.lit(BUCKETS)).alias("bucket")
+
+
+def _subtree_tops(pdf: pd.DataFrame) -> pd.DataFrame:
+    top = subtree_levels(pdf["code"].to_numpy(), pdf["n"].to_numpy())[0]
+    # What the level above needs of them, added up by its nodes.
+    frame = pd.DataFrame({"key": parents(top.keys), "zeros": top.zeros, "ones": top.ones, "weighted": top.weighted})
+    return frame.groupby("key", as_index=False).sum()
+
+
+def fit_top(codes: DataFrame) -> list[Mixed]:
+    """Levels 0 and 1 of all trees, from counts (code, n): at most 2^16 nodes."""
+    tops = codes.groupBy(bucket_of()).applyInPandas(_subtree_tops, "key long, zeros double, ones double, weighted double")
+    sums = tops.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]).toPandas()
+    sums = sums.sort_values("key")
+    # The sums are of children already, so each is a single child of its node here.
+    one = level_above(sums["key"].to_numpy(np.int64) >> 8 << 16 | sums["key"].to_numpy(np.int64) & 255,
+                      *[sums[c].to_numpy(float) for c in ("zeros", "ones", "weighted")])
+    return mix_down([level_above(one.keys, one.zeros, one.ones, one.weighted), one])
+
+
+def _all_levels(codes: np.ndarray, counts: np.ndarray, top: list[Mixed]) -> list[Mixed]:
+    return [*top, *mix_down(subtree_levels(codes, counts), top[-1])]
+
+
+SCORES = "code long, score double"
+
+
+def trained_scores(codes: DataFrame, top, least: int) -> DataFrame:
+    """SCORES rows of codes with a count of at least `least`, from counts (code, n)."""
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, counts = pdf["code"].to_numpy(), pdf["n"].to_numpy()
+        asked = own[counts >= least]
+        return pd.DataFrame({"code": asked, "score": code_scores(asked, _all_levels(own, counts, top.value))})
+
+    return codes.groupBy(bucket_of()).applyInPandas(score, SCORES)
+
+
+def asked_scores(codes: DataFrame, asked: DataFrame, top) -> DataFrame:
+    """SCORES rows of different codes (code), which training may lack, from counts (code, n)."""
+
+    def score(counted: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        own = wanted["code"].to_numpy(np.int64)
+        if not len(own):
+            return pd.DataFrame({"code": own, "score": np.zeros(0)})
+        levels = _all_levels(counted["code"].to_numpy(np.int64), counted["n"].to_numpy(np.int64), top.value)
+        return pd.DataFrame({"code": own, "score": code_scores(own, levels)})
+
+    return codes.groupBy(bucket_of()).cogroup(asked.groupBy(bucket_of())).applyInPandas(score, SCORES)
+
+
+class CodeTable:
+    """Scores by code: open addressing, for very many look-ups at a time."""
+
+    def __init__(self, codes: np.ndarray, scores: np.ndarray):
+        self.bits = max(4, int(2 * len(codes)).bit_length())
+        self.codes = np.full(1 << self.bits, -1, np.int64)
+        self.scores = np.zeros(1 << self.bits, np.float32)
+        slots, waiting = self._slots(codes), np.arange(len(codes))
+        while len(waiting):
+            free = waiting[self.codes[slots[waiting]] < 0]
+            self.codes[slots[free]] = codes[free]
+            waiting = waiting[self.codes[slots[waiting]] != codes[waiting]]
+            slots[waiting] = (slots[waiting] + 1) & ((1 << self.bits) - 1)
+        self.scores[slots] = scores
+
+    def _slots(self, codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            mixed = codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The scores of codes, 0 where the table has none, and which these are."""
+        slots = self._slots(codes)
+        there = self.codes[slots]
+        scores = self.scores[slots].astype(float)
+        missed, waiting = [], np.flatnonzero(there != codes)
+        there = there[waiting]
+        while len(waiting):
+            scores[waiting] = 0.0
+            missed.append(waiting[there < 0])
+            waiting = waiting[there >= 0]
+            slots[waiting] = (slots[waiting] + 1) & ((1 << self.bits) - 1)
+            there = self.codes[slots[waiting]]
+            hit = there == codes[waiting]
+            scores[waiting[hit]] = self.scores[slots[waiting[hit]]]
+            waiting, there = waiting[~hit], there[~hit]
+        return scores, np.concatenate([np.zeros(0, np.int64), *missed])
+
+
 def weighted_ones(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """P(1) in each full context, mixed over the depths, from counts by full context.
 
@@ -143,39 +386,9 @@ def weighted_ones(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return total + left * chance
 
 
-def _fit_decision(pdf: pd.DataFrame) -> pd.DataFrame:
-    zeros, ones = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    zeros[pdf["context"]], ones[pdf["context"]] = pdf["zeros"], pdf["ones"]
-    chances = weighted_ones(zeros, ones).astype(np.float32)
-    # Contexts that never came up share their values, which compresses well.
-    packed = zlib.compress(chances.tobytes(), 1)
-    return pd.DataFrame({"decision": [int(pdf["decision"].iloc[0])], "chances": [packed]})
-
-
-def fit_bytes(triples: DataFrame) -> dict[int, bytes]:
-    """P(1) in each context by decision, compressed, from counts (triple, n).
-
-    The 255 decisions are fitted apart; each has at most 2^16 contexts, and 256 KB.
-    """
-    bits = F.explode(F.sequence(F.lit(0), F.lit(7)))
-    byte = F.expr("triple & 255")
-    decided = triples.select("n", F.expr("shiftright(triple, 8)").alias("context"), byte.alias("byte"), bits.alias("bit"))
-    # Decision 1 is the first bit; decision d is followed by 2d or 2d + 1.
-    decided = decided.select(
-        "context",
-        F.expr("shiftright(byte, 8 - bit) | shiftleft(1, bit)").alias("decision"),
-        F.expr("shiftright(byte, 7 - bit) & 1").alias("one"),
-        "n",
-    )
-    counts = decided.groupBy("decision", "context").agg(
-        F.sum(F.expr("n * (1 - one)")).alias("zeros"), F.sum(F.expr("n * one")).alias("ones")
-    )
-    fitted = counts.groupBy("decision").applyInPandas(_fit_decision, "decision int, chances binary")
-    return {row["decision"]: bytes(row["chances"]) for row in fitted.toLocalIterator()}
-
-
 def byte_scores(model: dict[int, bytes]) -> np.ndarray:
-    """log10 P(byte | two bytes before) as an array [context * 256 + byte]: 64 MB."""
+    """log10 P(byte | two bytes before) as an array [context * 256 + byte], from P(1) in each context by
+    decision, compressed: 64 MB. For models of `weighted_ones` of two bytes; texts are scored with DEPTH bytes."""
     scores = np.zeros((CONTEXTS, 256), np.float32)
     for decision in range(1, 256):
         level = decision.bit_length() - 1
@@ -190,17 +403,24 @@ def byte_scores(model: dict[int, bytes]) -> np.ndarray:
     return scores.ravel()
 
 
-def _score(frequent, model) -> Callable:
-    names = ["doc_id", "row", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "token", "n"]
+def _score(frequent, known_codes) -> Callable:
+    names = ["doc_id", "row", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes", "token", "code", "n"]
 
     def scan(batches):
         from pyspark import TaskContext
 
         words, values = frequent.value
         known = dict(zip(words.split("\n") if words else [], values.tolist(), strict=True))
-        get, table = known.get, byte_scores(model.value)
+        get, table = known.get, CodeTable(*known_codes.value)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
+            kind = batch.column("doc_id").type
+
+            def missing(rows, tokens, codes, counts, kind=kind):
+                size = len(rows)
+                none = [pa.nulls(size, t) for t in (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())]
+                return pa.RecordBatch.from_arrays([pa.nulls(size, kind), rows, *none, tokens, codes, counts], names)
+
             column = batch.column("text")
             size = len(column)
             n_tokens, n_known, base = np.ones(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
@@ -221,21 +441,30 @@ def _score(frequent, model) -> Callable:
             data, offsets = string_buffers(column)
             for rows in row_chunks(offsets):
                 stream, starts = _stream(data, offsets, rows)
-                gained = table[_triples(stream)].astype(float)
-                gained[starts[1:] - 3] = 0.0
-                scores[rows.start : rows.stop] = np.add.reduceat(gained, starts[:-1] - 2)
+                codes = _codes(stream)
+                gained, lacking = table.find(codes)
+                unscored = _unscored(starts)
+                gained[unscored] = 0.0
+                first = starts[:-1] - DEPTH
+                scores[rows.start : rows.stop] = np.add.reduceat(gained, first)
+                lacking = np.setdiff1d(lacking, unscored)
+                owners = row + rows.start + np.searchsorted(first, lacking, "right") - 1
+                for at in range(0, len(lacking), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    asked = codes[lacking[part]]
+                    yield missing(
+                        pa.array(owners[part]), pa.nulls(len(asked), pa.string()), pa.array(asked),
+                        pa.array(np.ones(len(asked), np.int64)),
+                    )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.arange(row, row + size)), batch.column("held_out"),
                  pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(scores),
-                 pa.array(np.diff(offsets)), pa.nulls(size, pa.string()), pa.nulls(size, pa.int64())],
+                 pa.array(np.diff(offsets)), *[pa.nulls(size, t) for t in (pa.string(), pa.int64(), pa.int64())]],
                 names,
             )
-            count = len(missed_rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(count, batch.column("doc_id").type), pa.array(missed_rows, pa.int64()), pa.nulls(count, pa.bool_()),
-                 pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64()), pa.nulls(count, pa.float64()),
-                 pa.nulls(count, pa.float64()), pa.nulls(count, pa.int64()), pa.array(missed_tokens, pa.string()), pa.array(missed_counts, pa.int64())],
-                names,
+            yield missing(
+                pa.array(missed_rows, pa.int64()), pa.array(missed_tokens, pa.string()),
+                pa.nulls(len(missed_rows), pa.int64()), pa.array(missed_counts, pa.int64()),
             )
             row += size
 
@@ -243,7 +472,7 @@ def _score(frequent, model) -> Callable:
 
 
 def _frequent(tokens: DataFrame, limit: int) -> tuple[DataFrame, int]:
-    """The most frequent tokens, at most `limit` of them, and the least count of those."""
+    """The rows (.., n) with the largest n, at most `limit` of them, and the least n of those."""
     steps = F.expr("CASE WHEN n < 1000 THEN n ELSE cast(exp(floor(ln(n) * 100) / 100) AS bigint) END")
     sizes = tokens.groupBy(steps.alias("least")).agg(F.count("*").alias("tokens")).orderBy(F.desc("least")).collect()
     taken, least = 0, None
@@ -255,7 +484,9 @@ def _frequent(tokens: DataFrame, limit: int) -> tuple[DataFrame, int]:
     return tokens.where(steps >= least) if least is not None else tokens.where("false"), least
 
 
-def score_texts(docs: DataFrame, held_out: Column | None = None, max_frequent: int = MAX_FREQUENT) -> DataFrame:
+def score_texts(
+    docs: DataFrame, held_out: Column | None = None, max_frequent: int = MAX_FREQUENT, max_codes: int = MAX_CODES
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row
     of `docs` (doc_id, text), with what is learned from the rows that are not held out.
 
@@ -266,19 +497,20 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, max_frequent: i
     is empty: one token, its end. Without training rows N and V are 0 and every decision is even. Repeated rows count
     each, and a null doc_id is an empty one. Other columns are ignored.
 
-    Counts cover all training texts: each task hands on its own sums. Frequent tokens are looked up in a
-    broadcast table of bounded size; the others, which are none of them frequent, are joined.
+    Counts cover all training texts: each task hands on its own sums. Frequent tokens, and frequent codes of bytes in their
+    contexts, are looked up in broadcast tables of at most `max_frequent` and `max_codes` rows; the others are joined.
+    Scores of codes are the same either way, but for rounding to 24 bits in the table.
     """
     spark = docs.sparkSession
     held = is_held_out(F.col("doc_id")) if held_out is None else held_out
     texts = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held_out"))
     training = texts.where("NOT held_out")
     counted = training.select("text").mapInArrow(_count_training(), COUNTS)
-    counts = store(counted.groupBy("token", "triple").agg(F.sum("n").alias("n")))
+    counts = store(counted.groupBy("token", "code").agg(F.sum("n").alias("n")))
     tokens = counts.where("token IS NOT NULL").select("token", "n")
     sums = tokens.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     # Every training text has one end.
-    ends = counts.where(f"triple & 255 = {END}").agg(F.sum("n")).first()[0] or 0
+    ends = counts.where(f"code & 255 = {END}").agg(F.sum("n")).first()[0] or 0
     total, different = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
     unit = math.log10(total + different + 1)
 
@@ -286,14 +518,20 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, max_frequent: i
     rows = table.toPandas()
     words = "\n".join(rows["token"])
     sent = spark.sparkContext.broadcast((words, np.log10(rows["n"].to_numpy(float) + 1) - unit))
-    model = spark.sparkContext.broadcast(fit_bytes(counts.where("triple IS NOT NULL").select("triple", "n")))
+
+    codes = counts.where("code IS NOT NULL").select("code", "n")
+    top = spark.sparkContext.broadcast(fit_top(codes))
+    _, least_code = _frequent(codes, max_codes)
+    found = trained_scores(codes, top, least_code) if least_code is not None else codes.select("code", F.lit(0.0).alias("score")).limit(0)
+    found = found.toPandas()
+    table_codes = spark.sparkContext.broadcast((found["code"].to_numpy(np.int64), found["score"].to_numpy(np.float32)))
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = store(
         texts.mapInArrow(
-            _score(sent, model),
+            _score(sent, table_codes),
             f"doc_id {kind}, row long, held_out boolean, n_tokens long, n_known long, base double, "
-            "score double, n_bytes long, token string, n long",
+            "score double, n_bytes long, token string, code long, n long",
         )
     )
     missed = scored.where("token IS NOT NULL").select("row", "token", F.col("n").alias("times"))
@@ -304,8 +542,12 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, max_frequent: i
     more = met.groupBy("row").agg(
         F.sum(gained).alias("more_base"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("more_known")
     )
+    lacking = scored.where("code IS NOT NULL").select("row", "code")
+    asked = store(asked_scores(codes, lacking.select("code").distinct(), top))
+    more_score = lacking.join(asked, "code").groupBy("row").agg(F.sum("score").alias("more_score"))
     end_score = math.log10(ends + 1) - unit
-    lines = scored.where("token IS NULL").drop("token", "n")
+    lines = scored.where("n_tokens IS NOT NULL").drop("token", "code", "n")
+    lines = lines.join(more_score, "row", "left").withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
     return lines.join(more, "row", "left").select(
         "doc_id",
         "held_out",
