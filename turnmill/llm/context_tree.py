@@ -289,18 +289,24 @@ def _all_levels(codes: np.ndarray, counts: np.ndarray, top: list[Mixed]) -> list
     return [*top, *mix_down(subtree_levels(codes, counts), top[-1])]
 
 
-SCORES = "code long, score double"
-
-
-def trained_scores(codes: DataFrame, top, least: int) -> DataFrame:
-    """SCORES rows of codes with a count of at least `least`, from counts (code, n)."""
+def trained_scores(codes: DataFrame, top, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes with a count of at least `least` and their scores to 24 bits, from counts (code, n). They come to the
+    driver as one row of bytes a group."""
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         own, counts = pdf["code"].to_numpy(), pdf["n"].to_numpy()
         asked = own[counts >= least]
-        return pd.DataFrame({"code": asked, "score": code_scores(asked, _all_levels(own, counts, top.value))})
+        scores = code_scores(asked, _all_levels(own, counts, top.value)).astype(np.float32)
+        return pd.DataFrame({"codes": [asked.tobytes()], "scores": [scores.tobytes()]})
 
-    return codes.groupBy(bucket_of()).applyInPandas(score, SCORES)
+    rows = codes.groupBy(bucket_of()).applyInPandas(score, "codes binary, scores binary").collect()
+    return tuple(
+        np.frombuffer(b"".join(row[name] for row in rows), kind)
+        for name, kind in (("codes", np.int64), ("scores", np.float32))
+    )
+
+
+SCORES = "code long, score double"
 
 
 def asked_scores(codes: DataFrame, asked: DataFrame, top) -> DataFrame:
@@ -522,9 +528,11 @@ def score_texts(
     codes = counts.where("code IS NOT NULL").select("code", "n")
     top = spark.sparkContext.broadcast(fit_top(codes))
     _, least_code = _frequent(codes, max_codes)
-    found = trained_scores(codes, top, least_code) if least_code is not None else codes.select("code", F.lit(0.0).alias("score")).limit(0)
-    found = found.toPandas()
-    table_codes = spark.sparkContext.broadcast((found["code"].to_numpy(np.int64), found["score"].to_numpy(np.float32)))
+    found = np.zeros(0, np.int64), np.zeros(0, np.float32)
+    if least_code is not None:
+        found = trained_scores(codes, top, least_code)
+    table_codes = spark.sparkContext.broadcast(found)
+    del found
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = store(
