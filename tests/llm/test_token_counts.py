@@ -1,5 +1,6 @@
 """op6: pieces of any script go through the table, and counts are the library's."""
 
+import os
 import random
 
 import numpy as np
@@ -102,3 +103,23 @@ def test_an_empty_table_and_extra_columns(spark, path):
     clash = spark.createDataFrame([(1, "ab ba", 9), (1, "ab ba", 9)], "doc_id long, text string, n_tokens int")
     found = token_counts.count_text_tokens(clash, path, frequent=1).collect()
     assert [tuple(row) for row in found] == [(1, 5, Encoder(path).encoded(["ab ba"])[0])] * 2
+
+
+def test_a_worker_keeps_few_bytes_a_piece_and_no_threads(path, monkeypatch):
+    """The cache gives the same lengths before and after it starts anew, and what the library returns is dropped in parts."""
+    encoder, calls = Encoder(path), []
+    library = encoder.tokenizer
+
+    class Counting:
+        def encode_batch(self, texts, **how):
+            calls.append(sum(map(len, texts)))
+            return library.encode_batch(texts, **how)
+
+    encoder.tokenizer = Counting()
+    monkeypatch.setattr(token_counts, "CACHED", 50)
+    texts = [" ".join(f"word{(i * 7 + k) % 90}x" for k in range(12)) for i in range(60)] + ["<|endoftext|> " + "ab " * 30_000] * 4
+    found = count_column(pa.array(texts), encoder, EMPTY)
+    assert found.tolist() == [len(own) for own in library.encode_batch(texts, add_special_tokens=False)]
+    assert max(calls) < 2 * token_counts.ENCODED + 90_000 and len(calls) > 4
+    assert sum(part.nbytes for part in encoder.seen) == 12 * len(encoder.seen[0])
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"

@@ -8,6 +8,7 @@ lengths of frequent pieces are broadcast as a compact table of hashes and length
 where they occur and their lengths kept in a cache of the worker. No pre-token of a text is shuffled.
 """
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ LONGEST = 64
 COUNTED = 1 << 19
 # Most lengths a worker's cache holds before it starts anew.
 CACHED = 1 << 20
+# Characters encoded at a time, unless one text is longer.
+ENCODED = 1 << 16
 # Bytes hashed at a time, unless one text is longer.
 CHUNK = 1 << 18
 
@@ -109,18 +112,37 @@ def hash_spelled(pieces: list[str]) -> np.ndarray:
     return hash_pieces(np.frombuffer("".join(pieces).encode(), np.uint8), starts)
 
 
+def _looked_up(hashes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths from the table, and which pieces it lacks."""
+    known, lengths = table
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return lengths[at].astype(np.int64), np.flatnonzero(known[at] != hashes)
+
+
 class Encoder:
-    """The library's counts for one tokenizer, and lengths a worker has seen, by hash."""
+    """The library's counts for one tokenizer, and lengths a worker has seen: sorted hashes with their lengths."""
 
     def __init__(self, path: str):
+        # A task has one core; threads of the library's own would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.seen: dict[int, int] = {}
+        self.seen = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def encoded(self, texts: list[str]) -> list[int]:
-        return [len(own) for own in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        """Tokens of each text; the library's results are held for about ENCODED characters at a time."""
+        found, start, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= ENCODED or end == len(texts):
+                own = self.tokenizer.encode_batch(texts[start:end], add_special_tokens=False)
+                found += map(len, own)
+                start, size = end, 0
+        return found
 
     def named(self, column: pa.Array) -> np.ndarray:
         """Rows with an added token: such texts are encoded by the library as a whole."""
@@ -130,14 +152,16 @@ class Encoder:
         return found
 
     def lengths(self, hashes: np.ndarray, spelled: Callable[[int], str]) -> np.ndarray:
-        """Lengths of different pieces; `spelled` gives the text of one by its number here."""
-        if len(self.seen) > CACHED:
-            self.seen.clear()
-        seen, keys = self.seen, hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in seen]
-        found = self.encoded([spelled(i) for i in new])
-        seen.update(zip([keys[i] for i in new], found, strict=True))
-        return np.fromiter(map(seen.__getitem__, keys), np.int64, len(keys))
+        """Lengths of different pieces, by hash; `spelled` gives the text of one by its number here."""
+        found, new = _looked_up(hashes, self.seen)
+        if len(new):
+            found[new] = self.encoded([spelled(i) for i in new.tolist()])
+            if len(self.seen[0]) > CACHED:
+                self.seen = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+            known, lengths = self.seen
+            at = np.searchsorted(known, hashes[new])
+            self.seen = np.insert(known, at, hashes[new]), np.insert(lengths, at, found[new])
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -222,15 +246,6 @@ def frequent_lengths(texts: DataFrame, path: str, limit: int = FREQUENT) -> tupl
     return hashes[order], lengths[order]
 
 
-def _looked_up(hashes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths from the table, and which pieces it lacks."""
-    known, lengths = table
-    if not len(known):
-        return np.zeros(len(hashes), np.int64), np.arange(len(hashes))
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return lengths[at].astype(np.int64), np.flatnonzero(known[at] != hashes)
-
-
 def count_column(column: pa.Array, encoder: Encoder, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Tokens of each text of a string column."""
     counts = np.zeros(len(column), np.int64)
