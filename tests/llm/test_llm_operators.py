@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnmill.llm import chat_format, context_tree, personal_data, quality, url_filter
+from turnmill.llm import chat_format, context_tree, linking, personal_data, quality, url_filter
 from turnmill.llm.components import connected_components
 from turnmill.llm.decontamination import find_contamination, is_contaminated, remove_hit_spans
 from turnmill.llm.jaccard_join import jaccard_components
@@ -287,6 +287,18 @@ def test_code_table_finds_all_it_has_and_no_other():
     assert (scores[::2] == np.arange(len(codes[::2]))).all() and (scores[1::2] == 0).all()
 
 
+def test_smaller_block_of_a_pair_meets_the_larger_one(spark):
+    sizes = {1: 50, 2: 3, 3: 3, 4: 70}
+    rows = [(t, label, 20, 0, 80, 100, 0, 80, size) for t in (1, 2) for label, size in sizes.items()]
+    blocks = spark.createDataFrame(
+        rows, "token long, label long, band int, place long, least int, most int, first int, rest int, size long"
+    )
+    pairs = linking._block_pairs(blocks, []).select("token", "label_a", "size_a", "label_b", "size_b").collect()
+    assert all((r.size_a, r.label_a) < (r.size_b, r.label_b) for r in pairs)
+    found = sorted((r.token, *sorted((r.label_a, r.label_b))) for r in pairs)
+    assert found == [(t, a, b) for t in (1, 2) for a in range(1, 5) for b in range(a + 1, 5)]
+
+
 def test_byte_scores_sum_to_one():
     packed = {1: zlib.compress(np.full(context_tree.CONTEXTS, 0.25, np.float32).tobytes())}
     table = context_tree.byte_scores(packed).reshape(-1, 256)

@@ -172,6 +172,22 @@ def _leader_pairs(shared: DataFrame, sketched: DataFrame) -> DataFrame:
     return _nearest(distinct, sketched)
 
 
+def _block_pairs(blocks: DataFrame, kept: list[str]) -> DataFrame:
+    """Each pair of blocks of a token that have different labels and may have linked sets, once: the block with fewer
+    sets is a, as its sets are the ones that meet the other block."""
+
+    def side(name: str) -> DataFrame:
+        return blocks.select("token", *[F.col(c).alias(f"{c}_{name}") for c in blocks.columns if c != "token"])
+
+    apart = f"9 * ({_differ_at_least(kept)}) <= most_a + most_b" if kept else "true"
+    return side("a").join(side("b"), "token").where(
+        "label_a <> label_b AND (size_a < size_b OR size_a = size_b AND label_a < label_b) "
+        "AND 5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a "
+        "AND 9 * least(rest_a, rest_b) >= 4 * (least_a + least_b)"
+        f" AND {apart}"
+    )
+
+
 def _cross_label_pairs(
     shared: DataFrame, labels: DataFrame, sketched: DataFrame, bound_blocks: bool = False
 ) -> DataFrame:
@@ -187,22 +203,14 @@ def _cross_label_pairs(
     )
     blocks = labelled.groupBy("token", "label", "band", "place").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("first"),
-        F.max(F.col("n") - F.col("pos")).alias("rest"),
+        F.max(F.col("n") - F.col("pos")).alias("rest"), F.count("*").alias("size"),
         *[F.bit_and(c).alias(f"all_{c}") for c in kept], *[F.bit_or(c).alias(f"any_{c}") for c in kept],
     )
     spans = blocks.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     live = spans.where("lo <> hi").select("token")
     blocks = store(blocks.join(live, "token", "left_semi"))
 
-    def side(name: str) -> DataFrame:
-        return blocks.select("token", *[F.col(c).alias(f"{c}_{name}") for c in blocks.columns if c != "token"])
-
-    apart = f"9 * ({_differ_at_least(kept)}) <= most_a + most_b" if kept else "true"
-    pairs = side("a").join(side("b"), "token").where(
-        "label_a < label_b AND 5 * most_a >= 4 * least_b AND 5 * most_b >= 4 * least_a "
-        "AND 9 * least(rest_a, rest_b) >= 4 * (least_a + least_b)"
-        f" AND {apart}"
-    )
+    pairs = _block_pairs(blocks, kept)
     keys = [f"{c}_{name}" for name in "ab" for c in ("label", "band", "place")]
     bounds = [f"{c}_b" for c in ("least", "most", "rest", *[f"{of}_{c}" for of in ("all", "any") for c in kept])]
     pairs = pairs.select("token", *keys, *bounds)
@@ -225,7 +233,7 @@ def _cross_label_pairs(
         "AND 9 * least(n_a - pos_a, n_b - pos_b) >= 4 * (n_a + n_b)"
         f" AND 9 * ({_differ(bits)}) <= n_a + n_b"
     )
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
