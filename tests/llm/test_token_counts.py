@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -123,3 +124,18 @@ def test_a_worker_keeps_few_bytes_a_piece_and_no_threads(path, monkeypatch):
     assert max(calls) < 2 * token_counts.ENCODED + 90_000 and len(calls) > 4
     assert sum(part.nbytes for part in encoder.seen) == 12 * len(encoder.seen[0])
     assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_counts_of_a_task_take_few_bytes_a_piece(monkeypatch):
+    """300,000 different pieces are counted in bounded arrays, and a piece seen throughout keeps its count."""
+    monkeypatch.setattr(token_counts, "PROPOSED", 1 << 10)
+    texts = pa.array([" ".join(f"p{i}x{k} often" for k in range(100)) for i in range(3000)])
+    held, before = Frequent(), pa.total_allocated_bytes()
+    tracemalloc.start()
+    for _, text, starts, _, hashes in token_counts._chunks(texts):
+        held.add(text, starts, hashes)
+    peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert peak < 20e6
+    pieces, times = held.top(1)
+    assert (pieces, times) == ([" often"], [300_000])

@@ -25,7 +25,7 @@ FREQUENT = 1 << 16
 PROPOSED = 1 << 13
 LONGEST = 64
 # A task's counts are cut back to PROPOSED * 8 entries when it has this many.
-COUNTED = 1 << 19
+COUNTED = 1 << 17
 # Most lengths a worker's cache holds before it starts anew.
 CACHED = 1 << 20
 # Characters encoded at a time, unless one text is longer.
@@ -185,43 +185,42 @@ def _chunks(column: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray, n
 
 
 class Frequent:
-    """Counts of pieces by hash, cut back to the most frequent ones when there are very many."""
+    """Counts of pieces by hash, cut back to the most frequent ones when there are very many. Kept in arrays, as each
+    worker of an executor has one: about 30 bytes a piece of usual length."""
 
     def __init__(self):
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.spelled: dict[int, bytes] = {}
-        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         self.waits = 0
+        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.spelled = pa.array([], pa.large_binary())
 
     def add(self, text: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> None:
-        ends = np.append(starts[1:], len(text))
-        short = ends - starts <= LONGEST
-        starts, ends = starts[short], ends[short]
+        bounds = np.append(starts, len(text)).astype(np.int64)
+        short = np.flatnonzero(np.diff(bounds) <= LONGEST)
         found, at, counts = np.unique(hashes[short], return_index=True, return_counts=True)
-        held, whole = self.spelled, text.tobytes()
-        for key, i in zip(found.tolist(), at.tolist(), strict=True):
-            if key not in held:
-                held[key] = whole[starts[i] : ends[i]]
-        self.waiting.append((found, counts))
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(text))]
+        spelled = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).take(pa.array(short[at]))
+        self.waiting.append((found, counts, spelled))
         self.waits += len(found)
         if self.waits > COUNTED:
             self._settle()
 
     def _settle(self) -> None:
-        hashes = np.concatenate([self.hashes, *[h for h, _ in self.waiting]])
-        counts = np.concatenate([self.counts, *[c for _, c in self.waiting]])
+        hashes = np.concatenate([self.hashes, *[h for h, _, _ in self.waiting]])
+        counts = np.concatenate([self.counts, *[c for _, c, _ in self.waiting]])
+        spelled = pa.chunked_array([self.spelled, *[s for _, _, s in self.waiting]])
         self.waiting, self.waits = [], 0
-        self.hashes, place = np.unique(hashes, return_inverse=True)
+        self.hashes, at, place = np.unique(hashes, return_index=True, return_inverse=True)
         self.counts = np.bincount(place, counts, len(self.hashes)).astype(np.int64)
         if len(self.hashes) > COUNTED:
             kept = np.sort(np.argsort(-self.counts, kind="stable")[: PROPOSED * 8])
-            self.hashes, self.counts = self.hashes[kept], self.counts[kept]
-            self.spelled = {key: self.spelled[key] for key in self.hashes.tolist()}
+            self.hashes, self.counts, at = self.hashes[kept], self.counts[kept], at[kept]
+        self.spelled = spelled.take(pa.array(at)).combine_chunks()
 
     def top(self, limit: int) -> tuple[list[str], list[int]]:
         self._settle()
         best = np.argsort(-self.counts, kind="stable")[:limit]
-        return [self.spelled[key].decode() for key in self.hashes[best].tolist()], self.counts[best].tolist()
+        return [piece.decode() for piece in self.spelled.take(pa.array(best)).to_pylist()], self.counts[best].tolist()
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
