@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnmill.llm import substring_dedup
+from turnmill.llm import linking, substring_dedup
 from turnmill.llm.queries import QUERIES
 from turnmill.checkpoints import store
 from turnmill.llm.substring_dedup import _distinct, repeated_passages, with_classes
@@ -131,3 +131,14 @@ def test_op10_covers_repeated_windows(spark, sf_dir):
     repeated = set().union(*[ids for ids in seen.values() if len(ids) > 1])
     found = {row.doc_id for row in QUERIES["op10_substring_dedup"](spark, sf_dir).collect()}
     assert repeated and repeated <= found
+
+
+def test_entries_that_several_batches_give_are_one(spark):
+    """A set in many batches gives its entries each time; pairs of sets are not multiplied by that."""
+    entries = spark.createDataFrame(
+        [(token, node, 40 + node, 0, shards) for token, shards in ((1, 1), (2, 4)) for node in (1, 2, 3, 5, 6)] * 30,
+        "token long, node long, n int, pos int, shards int",
+    ).repartition(7)
+    shared = linking._shared_lists(entries)
+    found = sorted((row.token, row.node) for row in shared.collect())
+    assert found == [(token, node) for token in (1, 2) for node in (1, 2, 3, 5, 6)]

@@ -111,6 +111,8 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
     own = F.struct("node", "n", "pos")
     dealt = dealt.withColumns({"lo": F.min(own).over(lists), "hi": F.max("node").over(lists)})
     dealt = dealt.where("lo.node <> hi OR shards > 1")
+    # A set that several batches have gives its entries repeatedly; one of each is enough.
+    dealt = dealt.select("token", "shard", "node", "n", "pos", "band", "lo").distinct()
     in_band = Window.partitionBy("token", "shard", "band")
     leaders = [F.col("lo"), F.min(own).over(in_band), F.max(own).over(in_band)]
     for number in range(HASHED_LEADERS):
