@@ -625,3 +625,36 @@ def test_registered_jaccard_query_is_that_of_all_pairs(spark, sf_dir):
     expected = [(i, len(s), c if s else i) for (i, _), s, c in zip(docs, sets, labels, strict=True)]
     found = QUERIES["op1_jaccard_join"](spark, sf_dir).select("doc_id", "n_shingles", "component_id")
     assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_pairs_are_made_once_and_sketches_fold(spark):
+    """A pair that each side proposes is checked once; a folded sketch is what a sketch of fewer words would be."""
+    rng = np.random.default_rng(5)
+    sizes = [1, 700, 30, 0, 1500]
+    bounds = np.cumsum([0, *sizes])
+    shingles = rng.integers(0, 1 << 63, bounds[-1]).astype(np.uint64)
+    wide = linking.sketches(shingles, bounds, 16)
+    rows = [(node, *map(int, words)) for node, words in enumerate(wide)]
+    sketched = spark.createDataFrame(rows, f"node long, {', '.join(f'{c} long' for c in linking.sketch_columns(16))}")
+    folded = sorted(tuple(row)[1:] for row in linking._narrow(sketched).collect())
+    assert folded == sorted(tuple(map(int, words)) for words in linking.sketches(shingles, bounds, linking.NARROW))
+    both = spark.createDataFrame([(0, 2, 3000), (2, 0, 3000), (1, 4, 2200)], "a long, b long, n int")
+    # 700 and 1,500 shingles differ in more than (700 + 1500) / 9 = 244 bits of the whole sketch.
+    assert [tuple(row) for row in linking._nearest(both, sketched).collect()] == [(0, 2)]
+
+
+def test_one_pair_of_two_labels_is_checked_before_the_others(spark):
+    rows = [(1, 11, 1, 11, 90, 5), (1, 12, 1, 11, 90, 3), (2, 13, 1, 11, 90, 4), (1, 21, 1, 21, 90, 2), (2, 22, 1, 21, 90, 7)]
+    others = spark.createDataFrame(rows, "a long, b long, label_a long, label_b long, n int, apart int")
+    first = linking._nearest_of_labels(others)
+    assert sorted(map(tuple, first.collect())) == [(1, 12), (1, 21)]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (11, 1), (12, 1), (13, 1), (22, 21)], "node long, label long")
+    assert [tuple(row) for row in linking._still_apart(others, first, labels).collect()] == [(2, 22)]
+
+
+def test_sets_are_stored_by_no_step_of_a_join(docs, monkeypatch):
+    """Sets go through one shuffle for both sides of their pairs; they are not written to the checkpoint folder."""
+    stored, write = [], linking.store
+    monkeypatch.setattr(linking, "store", lambda df: stored.append(df.columns) or write(df))
+    jaccard_components(docs).collect()
+    assert stored and not any("members" in columns for columns in stored)

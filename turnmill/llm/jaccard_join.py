@@ -25,8 +25,11 @@ MAX_FREQUENT = 2_000_000
 # A list with 2^(SHARD_CLASS + i) counted copies is dealt over 2^i shards.
 SHARD_CLASS = 8
 MAX_SHARDS = 1 << 16
-# A set is sketched in so many 64-bit words.
-SKETCH = 4
+# A set is sketched in so many 64-bit words. With fewer, sets of 600 shingles or more are never far enough apart.
+SKETCH = 16
+# An entry has 40 bits of its shingle's hash; the zeros need no room in a shuffle. Lists of shingles that are alike in
+# them are one, which gives more candidates, not other links.
+TOKEN_BITS = np.uint64(0xFFFFFFFFFF000000)
 # First places of a quick test for frequent shingles.
 HINT_BITS = np.uint64((1 << 22) - 1)
 
@@ -145,7 +148,7 @@ def _scan_entries(size: int, order) -> Callable:
             shards = np.minimum(1 << np.maximum(classes - SHARD_CLASS, 0), MAX_SHARDS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([p[0] for p in parts]).astype(np.int64)),
+                    pa.array((np.concatenate([p[0] for p in parts]) & TOKEN_BITS).astype(np.int64)),
                     pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), sizes)),
                     pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), sizes)),
                     pa.array(np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])),

@@ -8,13 +8,15 @@ sets that are alike are used to skip work:
 * *Answers from a similar set.* A list has a few leaders, chosen by several orders, and every set is first
   checked against the nearest by sketch of all its lists' leaders. What is linked then has a common label, so that a
   group of near copies is nearly one label. Only pairs with different labels are looked at further on:
-  an answer inside a label follows from its leaders'.
+  an answer inside a label follows from its leaders'. Of these pairs, the nearest of each two labels is checked first;
+  where it is linked, the labels become one and their other pairs need no check.
 * *Skipping by position.* What is left of a list is grouped in blocks of nearby sizes and
   positions. A pair of blocks whose sizes and positions leave too little room for the
   overlap is skipped as a whole, before its entries are read.
 * *Skipping by sketch.* A set's sketch has a bit per bucket: is the number of its members there odd?
   Two sets differ in at least as many members as their sketches do in bits, so that
-  pairs whose sketches are too far apart are never made. With `bound_blocks`, a block keeps the bits that all its
+  pairs whose sketches are too far apart are never made. Sketches of many words are folded to NARROW words where they
+  go with the entries, and are compared in full for the pairs left, before sets are fetched. With `bound_blocks`, a block keeps the bits that all its
   sets have and those that any has, which bounds the same difference for blocks: a pair of blocks, or of a set and a
   block, that is too far apart is skipped as a whole. That pays where a set is in few lists, as with bands.
 
@@ -46,6 +48,11 @@ HASHED_LEADERS = 6
 # Bits of the filter that tells a scan which sets may be asked for: 2 MB.
 FILTER_BITS = 1 << 24
 
+# Words of a sketch that go with each entry; those of pairs are compared in full.
+NARROW = 4
+# Sets sketched at a time.
+SKETCHED = 1 << 10
+
 Members = Callable[[bytes], DataFrame]
 
 
@@ -57,10 +64,22 @@ def sketch_columns(words: int) -> list[str]:
 def sketches(shingles: np.ndarray, bounds: np.ndarray, words: int) -> np.ndarray:
     """The sketches of sets that lie end to end: a row of signed 64-bit numbers each."""
     bits, count = 64 * words, len(bounds) - 1
-    owner = np.repeat(np.arange(count), np.diff(bounds))
-    bucket = ((shingles >> np.uint64(33)) % np.uint64(bits)).astype(np.int64)
-    odd = np.bincount(owner * bits + bucket, minlength=count * bits).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(count, bits), axis=1).view(np.int64)
+    found = np.empty((count, words), np.int64)
+    for start in range(0, count, SKETCHED):
+        own = bounds[start : start + SKETCHED + 1]
+        sets = len(own) - 1
+        owner = np.repeat(np.arange(sets), np.diff(own))
+        bucket = ((shingles[own[0] : own[-1]] >> np.uint64(33)) % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(owner * bits + bucket, minlength=sets * bits).astype(np.uint8) & 1
+        found[start : start + sets] = np.packbits(odd.reshape(sets, bits), axis=1).view(np.int64)
+    return found
+
+
+def _narrow(sketched: DataFrame) -> DataFrame:
+    """Sketches folded to NARROW words: what the sketch with so many words only would be."""
+    bits = [c for c in sketched.columns if c != "node"]
+    folded = [F.expr(" ^ ".join(bits[i::NARROW])).alias(bits[i]) for i in range(min(NARROW, len(bits)))]
+    return sketched.select("node", *folded)
 
 
 def link_sets(entries: DataFrame, members: Members, sketched: DataFrame, bound_blocks: bool = False) -> DataFrame:
@@ -74,15 +93,41 @@ def link_sets(entries: DataFrame, members: Members, sketched: DataFrame, bound_b
     bits = [c for c in sketched.columns if c != "node"]
     sketched = store(sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in bits]))
     pairs = store(_leader_pairs(shared, sketched))
-    sets = _asked_sets(pairs, members)
-    labels = store(connected_components(store(_linked_pairs(pairs, sets))))
-    others = store(_cross_label_pairs(shared, labels, sketched, bound_blocks))
+    labels = store(connected_components(store(_linked_pairs(pairs, members))))
+    others = _cross_label_pairs(shared, labels, _narrow(sketched), bound_blocks)
+    others = store(others if len(bits) <= NARROW else _near_pairs(others, sketched))
     if others.isEmpty():
         return labels
-    second = store(_linked_pairs(others, _asked_sets(others, members)))
-    if second.isEmpty():
+    first = store(_nearest_of_labels(others))
+    labels = store(_merged(labels, store(_linked_pairs(first, members))))
+    rest = store(_still_apart(others, first, labels))
+    if rest.isEmpty():
         return labels
-    return _merged(labels, second)
+    return _merged(labels, store(_linked_pairs(rest, members)))
+
+
+def _near_pairs(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Those pairs that are near enough by the whole sketches, with `apart` by these."""
+    bits = [c for c in sketched.columns if c != "node"]
+    for name in "ab":
+        pairs = pairs.join(sketched.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in bits]), name)
+    return pairs.select("a", "b", "label_a", "label_b", "n", F.expr(_differ(bits)).alias("apart")).where("9 * apart <= n")
+
+
+def _nearest_of_labels(pairs: DataFrame) -> DataFrame:
+    """(a, b) of the nearest pair by sketch of each two labels: when it is linked, the others of these labels follow."""
+    nearest = F.min(F.struct("apart", "a", "b")).alias("nearest")
+    labels = [F.least("label_a", "label_b"), F.greatest("label_a", "label_b")]
+    return pairs.groupBy(*labels).agg(nearest).select("nearest.a", "nearest.b")
+
+
+def _still_apart(pairs: DataFrame, seen: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b) of the pairs that are not among those seen and have different labels."""
+    pairs = pairs.select("a", "b").join(seen, ["a", "b"], "left_anti")
+    for end in "ab":
+        named = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        pairs = pairs.join(named, end, "left")
+    return pairs.where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -147,7 +192,8 @@ def _differ_from_block(bits: list[str]) -> str:
 
 
 def _nearest(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Of pairs (a, b, n), n the sum of their sizes, those near enough by sketch: for each a the LEADERS nearest b."""
+    """Of pairs (a, b, n), n the sum of their sizes, those near enough by sketch: for each a the LEADERS nearest b,
+    as (least, greatest), once."""
     bits = [c for c in sketched.columns if c != "node"]
 
     def side(name: str) -> DataFrame:
@@ -158,7 +204,8 @@ def _nearest(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     )
     rank = F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))
     near = apart.where("9 * apart <= n").withColumn("rank", rank)
-    return near.where(F.col("rank") <= LEADERS).select("a", "b")
+    near = near.where(F.col("rank") <= LEADERS)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _leader_pairs(shared: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -193,8 +240,8 @@ def _block_pairs(blocks: DataFrame, kept: list[str]) -> DataFrame:
 def _cross_label_pairs(
     shared: DataFrame, labels: DataFrame, sketched: DataFrame, bound_blocks: bool = False
 ) -> DataFrame:
-    """(a, b): all pairs of sets in a common list that have different labels, room enough and
-    sketches near enough."""
+    """(a, b, label_a, label_b, n, apart): all pairs of sets in a common list that have different labels, room enough and
+    sketches near enough, once each, a the lesser one. `apart` is by sketch, n the sum of the sizes."""
     bits = [c for c in sketched.columns if c != "node"]
     kept = bits if bound_blocks else []
     known = sketched.join(labels, "node", "left")
@@ -235,7 +282,15 @@ def _cross_label_pairs(
         "AND 9 * least(n_a - pos_a, n_b - pos_b) >= 4 * (n_a + n_b)"
         f" AND 9 * ({_differ(bits)}) <= n_a + n_b"
     )
-    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    lesser = F.col("node_a") < F.col("node_b")
+    return met.select(
+        F.least("node_a", "node_b").alias("a"),
+        F.greatest("node_a", "node_b").alias("b"),
+        F.when(lesser, F.col("label_a")).otherwise(F.col("label_b")).alias("label_a"),
+        F.when(lesser, F.col("label_b")).otherwise(F.col("label_a")).alias("label_b"),
+        F.expr("n_a + n_b").alias("n"),
+        F.expr(_differ(bits)).alias("apart"),
+    ).distinct()
 
 
 def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -251,11 +306,13 @@ def _asked_sets(pairs: DataFrame, members: Members) -> DataFrame:
     nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
     nodes = store(nodes.withColumnRenamed("a", "node"))
     asked = members(node_filter(nodes)).join(nodes, "node", "left_semi")
-    return store(asked.groupBy("node").agg(F.first("members").alias("members")))
+    return asked.groupBy("node").agg(F.first("members").alias("members"))
 
 
-def _linked_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose sets are at hand and have 100 * intersection >= 80 * union."""
+def _linked_pairs(pairs: DataFrame, members: Members) -> DataFrame:
+    """Those of stored pairs (a, b) whose sets have 100 * intersection >= 80 * union. The sets are shuffled once, by
+    node, for both sides, and not stored."""
+    sets = _asked_sets(pairs, members)
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("left"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("right"))
     return pairs.join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("left", "right")).select("a", "b")
