@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark import cloudpickle
 
 from turnmill.llm import token_counts
 from turnmill.llm.queries import QUERIES
@@ -136,6 +137,25 @@ def test_counts_of_a_task_take_few_bytes_a_piece(monkeypatch):
         held.add(text, starts, hashes)
     peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
     tracemalloc.stop()
-    assert peak < 20e6
+    assert peak < 30e6
     pieces, times = held.top(1)
     assert (pieces, times) == ([" often"], [300_000])
+
+
+class Sent:
+    """What a broadcast of an empty table is to a task."""
+
+    value = EMPTY
+
+
+def test_tasks_of_a_worker_share_one_encoder_that_is_not_sent(path):
+    """Functions reach each task by value; the tokenizer and the lengths seen must neither go along nor be made anew."""
+    token_counts.encoder_of(path)
+    sent = cloudpickle.dumps(token_counts._count(path, Sent()))
+    assert len(sent) < 100_000
+    batch = pa.record_batch({"doc_id": [1, 2], "text": ["kept over tasks", "kept qqxzy"]})
+    for _ in range(2):
+        task = cloudpickle.loads(sent)
+        assert [b.column("n_bytes").to_pylist() for b in task(iter([batch]))] == [[15, 10]]
+        seen = token_counts.encoder_of(path).seen[0]
+        assert hash_spelled([" qqxzy"])[0] in seen

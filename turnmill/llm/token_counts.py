@@ -9,6 +9,8 @@ where they occur and their lengths kept in a cache of the worker. No pre-token o
 """
 
 import os
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ FREQUENT = 1 << 16
 PROPOSED = 1 << 13
 LONGEST = 64
 # A task's counts are cut back to PROPOSED * 8 entries when it has this many.
-COUNTED = 1 << 17
+COUNTED = 1 << 19
 # Most lengths a worker's cache holds before it starts anew.
 CACHED = 1 << 20
 # Characters encoded at a time, unless one text is longer.
@@ -53,12 +55,23 @@ def _powers(base: int, count: int) -> np.ndarray:
         return np.cumprod(values)
 
 
-_PLACES = {"up": _powers(_FACTOR, 2 * CHUNK), "down": _powers(_INVERSE, 2 * CHUNK)}
+def _kept() -> dict:
+    """What this process keeps over its tasks.
+
+    Functions of this package reach a worker by value, with a copy of each variable of the module that they use, anew
+    for each task. Only what hangs on a loaded module stays, and is not sent along.
+    """
+    name = f"{__name__}.kept"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
 def _places(count: int) -> tuple[np.ndarray, np.ndarray]:
-    if count <= 2 * CHUNK:
-        return _PLACES["up"][:count], _PLACES["down"]
+    kept = _kept()
+    if "places" not in kept:
+        kept["places"] = _powers(_FACTOR, 1 << 19), _powers(_INVERSE, 1 << 19)
+    up, down = kept["places"]
+    if count <= len(up):
+        return up[:count], down
     return _powers(_FACTOR, count), _powers(_INVERSE, count)
 
 
@@ -164,14 +177,12 @@ class Encoder:
         return found
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder_of(path: str) -> Encoder:
     """One for each tokenizer, kept while the Python worker lives, over its tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    encoders = _kept().setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
