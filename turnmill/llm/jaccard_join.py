@@ -1,6 +1,7 @@
 """N-gram Jaccard join of documents with set-relation skipping (see `linking`)."""
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -8,18 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
-from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain, sketch_columns, sketches
+from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain_each, sketch_columns, sketches
 from turnmill.llm.words import (
     SPACED,
     pack_set,
     row_chunks,
-    set_id,
-    shingle_set,
+    set_ids,
+    shingle_sets,
     split_words,
     string_buffers,
 )
 
 SHINGLE = 5
+# About so much text is made sets at a time, and so many shingles are held to count those that sets share (32 MB): a worker
+# holds no more than these beside the batch it was sent, however long the texts of a batch are, one text apart.
+CHUNK_BYTES = 250_000
+COUNTED = 1 << 22
 # Most shingles in the table of frequent ones that is sent to every executor: 32 MB.
 MAX_FREQUENT = 2_000_000
 # A list with 2^(SHARD_CLASS + i) counted copies is dealt over 2^i shards.
@@ -34,16 +39,38 @@ TOKEN_BITS = np.uint64(0xFFFFFFFFFF000000)
 HINT_BITS = np.uint64((1 << 22) - 1)
 
 
-def batch_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted shingle set) of each row of column `text`."""
-    data, offsets = string_buffers(batch.column("text"))
-    for rows in row_chunks(offsets):
-        words = split_words(data, offsets, rows, SPACED)
-        for row in rows:
-            yield row, shingle_set(words.hashes[words.of(row)], size)
+class Sets(NamedTuple):
+    """Sorted shingle sets of a run of rows, end to end."""
 
+    rows: range
+    shingles: np.ndarray
+    bounds: np.ndarray
 
-def prefix_size(n: int) -> int:
+    def nodes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the run with a set that is not empty, and these sets' ids."""
+        filled = np.flatnonzero(np.diff(self.bounds))
+        if not len(filled):
+            return filled, np.zeros(0, np.int64)
+        return filled, set_ids(self.shingles, np.append(self.bounds[filled], self.bounds[-1]))
+
+
+def text_sets(column: pa.Array, size: int) -> Iterator[Sets]:
+    """The shingle sets of a column of texts, a few rows at a time."""
+    data, offsets = string_buffers(column)
+    for rows in row_chunks(offsets, CHUNK_BYTES):
+        yield Sets(rows, *shingle_sets(split_words(data, offsets, rows, SPACED), size))
+
+
+def _new_sets(sets: Sets, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a run with a set that has not come up yet, and these sets' ids."""
+    rows, nodes = sets.nodes()
+    _, first = np.unique(nodes, return_index=True)
+    fresh = np.array([i for i in np.sort(first).tolist() if int(nodes[i]) not in seen], np.int64)
+    seen.update(nodes[fresh].tolist())
+    return rows[fresh], nodes[fresh]
+
+
+def prefix_size(n):
     """So many first members that two sets with a similarity of 4/5 share one of them."""
     return n - -(-4 * n // 5) + 1
 
@@ -52,13 +79,13 @@ class Order:
     """The order of shingles in every set: rare ones first, by hash; frequent ones last."""
 
     def __init__(self, shingles: np.ndarray, classes: np.ndarray):
-        by_value = np.argsort(shingles)
-        self.shingles, self.classes = shingles[by_value], classes[by_value]
+        """`shingles`: the frequent ones, sorted."""
+        self.shingles, self.classes = shingles, classes
         self.hint = np.zeros(int(HINT_BITS) + 1, bool)
         self.hint[(self.shingles & HINT_BITS).astype(np.int64)] = True
 
-    def prefix(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The first members of a sorted set in this order, and their classes (0: rare)."""
+    def classes_of(self, members: np.ndarray) -> np.ndarray:
+        """The class of each member (0: rare)."""
         classes = np.zeros(len(members), np.int8)
         maybe = np.flatnonzero(self.hint[(members & HINT_BITS).astype(np.int64)])
         if len(maybe):
@@ -66,42 +93,46 @@ class Order:
             at[at == len(self.shingles)] = 0
             hit = self.shingles[at] == members[maybe]
             classes[maybe[hit]] = self.classes[at[hit]]
-        size = prefix_size(len(members))
-        if classes.any():
-            first = np.argsort(classes, kind="stable")[:size]
-            return members[first], classes[first]
-        return members[:size], classes[:size]
+        return classes
+
+    def prefixes(self, sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first members of the sets of these rows in this order, their classes, and how many they are in each set."""
+        classes = self.classes_of(sets.shingles)
+        frequent = np.concatenate([[0], np.cumsum(classes > 0)])[sets.bounds]
+        sizes = prefix_size(np.diff(sets.bounds)[rows])
+        first = sets.bounds[rows]
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        ends = np.cumsum(sizes)
+        for i in np.flatnonzero(frequent[rows + 1] > frequent[rows]).tolist():
+            own = classes[first[i] : sets.bounds[rows[i] + 1]]
+            at[ends[i] - sizes[i] : ends[i]] = first[i] + np.argsort(own, kind="stable")[: sizes[i]]
+        return sets.shingles[at], classes[at], sizes
+
+
+def _shared_tokens(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are in several of the sets in `parts`, which is emptied, and in how many."""
+    together = np.concatenate([*parts, np.zeros(0, np.uint64)])
+    parts.clear()
+    together.sort()
+    again = np.flatnonzero(together[1:] == together[:-1])
+    first = np.flatnonzero(np.diff(again, prepend=-2) > 1)
+    return together[again[first]], np.diff(first, append=len(again)) + 1
 
 
 def _scan_documents(size: int) -> Callable:
-    """(doc_id, n, node, sketch) of each row, and (token, count) of shingles that several rows of a
-    batch share: few rows, but each frequent shingle is among them."""
+    """(doc_id, n, node, sketch) of each row, and (token, count) of shingles that several of the rows read
+    together share: few rows, but each frequent shingle is among them."""
     names = ["doc_id", "n", "node", *sketch_columns(SKETCH), "token", "count"]
 
     def scan(batches):
-        for batch in batches:
-            found = [members for _, members in batch_sets(batch, size)]
-            rows = len(found)
-            bounds = np.cumsum([0, *map(len, found)])
-            together = np.concatenate([*found, np.zeros(0, np.uint64)])
-            bits = sketches(together, bounds, SKETCH)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(bounds).astype(np.int32)),
-                    pa.array([set_id(members) if len(members) else None for members in found], pa.int64()),
-                    *[pa.array(bits[:, i]) for i in range(SKETCH)],
-                    pa.nulls(rows, pa.int64()),
-                    pa.nulls(rows, pa.int64()),
-                ],
-                names,
-            )
-            tokens, counts = np.unique(together, return_counts=True)
-            tokens, counts = tokens[counts > 1], counts[counts > 1]
+        parts, held, id_type = [], 0, None
+
+        def shared():
+            tokens, counts = _shared_tokens(parts)
             none = len(tokens)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.nulls(none, batch.column("doc_id").type),
+                    pa.nulls(none, id_type),
                     pa.nulls(none, pa.int32()),
                     *[pa.nulls(none, pa.int64()) for _ in range(1 + SKETCH)],
                     pa.array(tokens.astype(np.int64)),
@@ -110,11 +141,39 @@ def _scan_documents(size: int) -> Callable:
                 names,
             )
 
+        for batch in batches:
+            id_type = batch.column("doc_id").type
+            for sets in text_sets(batch.column("text"), size):
+                rows = len(sets.rows)
+                filled, ids = sets.nodes()
+                node = np.zeros(rows, np.int64)
+                node[filled] = ids
+                sizes = np.diff(sets.bounds)
+                bits = sketches(sets.shingles, sets.bounds, SKETCH)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(sets.rows.start, rows),
+                        pa.array(sizes.astype(np.int32)),
+                        pa.array(node, mask=sizes == 0),
+                        *[pa.array(bits[:, i]) for i in range(SKETCH)],
+                        pa.nulls(rows, pa.int64()),
+                        pa.nulls(rows, pa.int64()),
+                    ],
+                    names,
+                )
+                parts.append(sets.shingles)
+                held += len(sets.shingles)
+                if held >= COUNTED:
+                    yield shared()
+                    held = 0
+        if held:
+            yield shared()
+
     return scan
 
 
 def frequent_shingles(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles with the largest sums of (token, count), and the logarithm of the sum as class.
+    """Shingles with the largest sums of (token, count), sorted, and the logarithm of the sum as class.
 
     At most MAX_FREQUENT: each stands for at least that share of the total.
     """
@@ -124,7 +183,9 @@ def frequent_shingles(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     frequent = sums.where(F.col("count") >= least).select(
         "token", F.floor(F.log2("count")).cast("tinyint").alias("class")
     ).toPandas()
-    return frequent["token"].to_numpy(np.int64).astype(np.uint64), frequent["class"].to_numpy(np.int8)
+    tokens = frequent["token"].to_numpy(np.int64).astype(np.uint64)
+    by_value = np.argsort(tokens)
+    return tokens[by_value], frequent["class"].to_numpy(np.int8)[by_value]
 
 
 def _scan_entries(size: int, order) -> Callable:
@@ -133,29 +194,24 @@ def _scan_entries(size: int, order) -> Callable:
     def scan(batches):
         ranks = Order(*order.value)
         for batch in batches:
-            seen, parts = set(), []
-            for _, members in batch_sets(batch, size):
-                node = set_id(members) if len(members) else None
-                if node is None or node in seen:
+            seen: set[int] = set()
+            for sets in text_sets(batch.column("text"), size):
+                rows, nodes = _new_sets(sets, seen)
+                if not len(rows):
                     continue
-                seen.add(node)
-                tokens, classes = ranks.prefix(members)
-                parts.append((tokens, classes, node, len(members)))
-            if not parts:
-                continue
-            sizes = [len(tokens) for tokens, _, _, _ in parts]
-            classes = np.concatenate([p[1] for p in parts]).astype(np.int64)
-            shards = np.minimum(1 << np.maximum(classes - SHARD_CLASS, 0), MAX_SHARDS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((np.concatenate([p[0] for p in parts]) & TOKEN_BITS).astype(np.int64)),
-                    pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), sizes)),
-                    pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), sizes)),
-                    pa.array(np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])),
-                    pa.array(shards.astype(np.int32)),
-                ],
-                ["token", "node", "n", "pos", "shards"],
-            )
+                tokens, classes, sizes = ranks.prefixes(sets, rows)
+                shards = np.minimum(1 << np.maximum(classes.astype(np.int64) - SHARD_CLASS, 0), MAX_SHARDS)
+                places = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((tokens & TOKEN_BITS).astype(np.int64)),
+                        pa.array(np.repeat(nodes, sizes)),
+                        pa.array(np.repeat(np.diff(sets.bounds)[rows].astype(np.int32), sizes)),
+                        pa.array(places.astype(np.int32)),
+                        pa.array(shards.astype(np.int32)),
+                    ],
+                    ["token", "node", "n", "pos", "shards"],
+                )
 
     return scan
 
@@ -166,20 +222,17 @@ def _scan_members(size: int, asked) -> Callable:
     def scan(batches):
         bitmap = np.frombuffer(asked.value, np.int64)
         for batch in batches:
-            nodes, ns, packed = [], [], []
-            seen = set()
-            for _, members in batch_sets(batch, size):
-                node = set_id(members) if len(members) else None
-                if node is None or node in seen or not may_contain(bitmap, node):
-                    continue
-                seen.add(node)
-                nodes.append(node)
-                ns.append(len(members))
-                packed.append(pack_set(members))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(ns, pa.int32()), pa.array(packed, pa.binary())],
-                ["node", "n", "members"],
-            )
+            seen: set[int] = set()
+            for sets in text_sets(batch.column("text"), size):
+                rows, nodes = _new_sets(sets, seen)
+                asked_for = may_contain_each(bitmap, nodes)
+                rows, nodes = rows[asked_for], nodes[asked_for]
+                first, end = sets.bounds[rows], sets.bounds[rows + 1]
+                packed = [pack_set(sets.shingles[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes), pa.array((end - first).astype(np.int32)), pa.array(packed, pa.binary())],
+                    ["node", "n", "members"],
+                )
 
     return scan
 

@@ -341,3 +341,9 @@ def may_contain(bitmap, node: int) -> bool:
     """`bitmap`: the filter as a numpy array of 64-bit words."""
     bit = (node >> 20) % FILTER_BITS
     return bool((int(bitmap[bit >> 6]) >> (bit & 63)) & 1)
+
+
+def may_contain_each(bitmap: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """`may_contain` of many nodes."""
+    bits = (nodes >> 20) % FILTER_BITS
+    return ((bitmap[bits >> 6] >> (bits & 63)) & 1).astype(bool)

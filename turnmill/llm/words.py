@@ -142,11 +142,26 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         return mix(total + np.uint64(size))
 
 
-def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Distinct shingles of one text, sorted; a shorter text is one shingle, an empty one has none."""
-    if len(hashes) == 0:
-        return np.zeros(0, np.uint64)
-    return np.unique(windows(hashes, min(size, len(hashes))))
+def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, bounds): the distinct shingles of each row of a run, sorted, end to end; a row of fewer words is one
+    shingle, an empty one has none."""
+    counts = np.diff(words.first)
+    whole = counts >= size
+    sizes = np.where(whole, counts - size + 1, np.minimum(counts, 1))
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    shingles = np.empty(bounds[-1], np.uint64)
+    every = windows(words.hashes, size)
+    inside = np.arange(size, len(every) + size) <= np.repeat(words.first[1:], counts)[: len(every)]
+    of_whole = np.repeat(whole, sizes)
+    shingles[of_whole] = every[inside]
+    for row in np.flatnonzero(~whole & (counts > 0)).tolist():
+        shingles[bounds[row]] = windows(words.hashes[words.first[row] : words.first[row + 1]], int(counts[row]))[0]
+    for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        shingles[start:end].sort()
+    fresh = np.ones(len(shingles), bool)
+    fresh[1:] = shingles[1:] != shingles[:-1]
+    fresh[bounds[:-1][sizes > 0]] = True
+    return shingles[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
 
 
 def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -157,11 +172,6 @@ def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return mix(total ^ np.bitwise_xor.reduceat(mix(spread), bounds[:-1])).view(np.int64)
 
 
-def set_id(shingles: np.ndarray) -> int:
-    """The id of one set that is not empty."""
-    return int(set_ids(shingles, np.array([0, len(shingles)]))[0])
-
-
 def pack_set(shingles: np.ndarray) -> bytes:
     """The set in 40 bits a shingle, sorted, to be compared with other sets."""
     short = np.sort(shingles >> np.uint64(24))
