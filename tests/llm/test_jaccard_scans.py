@@ -1,4 +1,4 @@
-"""What the scans of the Jaccard join hold in memory."""
+"""What the scans of the Jaccard join hold in memory, and which texts they make sets of."""
 
 import random
 import tracemalloc
@@ -22,7 +22,8 @@ class Sent:
 
 def batch(texts: list) -> pa.RecordBatch:
     rows = pa.array(range(len(texts)), pa.int64())
-    return pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], ["doc_id", "text"])
+    keys = pa.array([(i + 1) << 20 for i in range(len(texts))], pa.int64())
+    return pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string()), keys], ["doc_id", "text", "key"])
 
 
 def long_texts(rows: int = 4000, words: int = 300) -> pa.RecordBatch:
@@ -67,7 +68,7 @@ def test_shared_shingles_are_counted_over_all_runs_of_rows(monkeypatch):
     def shared():
         found = pa.Table.from_batches(jaccard_join._scan_documents(SIZE)(iter([batch(texts)])))
         tokens = [(t, n) for t, n in zip(found["token"].to_pylist(), found["count"].to_pylist(), strict=True) if t]
-        rows = [r for r in zip(*(found[c].to_pylist() for c in ("doc_id", "n", "node")), strict=True) if r[0] is not None]
+        rows = [r for r in zip(*(found[c].to_pylist() for c in ("doc_id", "n", "node", "key")), strict=True) if r[3]]
         return tokens, rows
 
     tokens, rows = shared()
@@ -96,3 +97,49 @@ def test_sets_of_a_run_of_rows_are_those_of_each_row():
         words = [w for w in "".join(" " if c in "\t\n\v\f\r" else c for c in (text or "").translate(lower)).split(" ") if w]
         assert found == sorted(set(found))
         assert len(found) == len({tuple(words[i : i + SIZE]) for i in range(max(1, len(words) - 4))} if words else ())
+
+
+def test_sets_are_made_only_of_texts_that_may_be_asked_for(monkeypatch):
+    texts = [" ".join(f"{name}{i}" for i in range(9)) for name in "abcdefgh"] + [None]
+    made = batch(texts)
+    bitmap = np.zeros(linking.FILTER_BITS // 64, np.int64)
+    for row in (2, 5, 8):
+        bitmap[(row + 1) >> 6] |= 1 << ((row + 1) & 63)
+    split = []
+
+    def counted(data, offsets, rows, classes):
+        split.append(len(rows))
+        return split_words(data, offsets, rows, classes)
+
+    monkeypatch.setattr(jaccard_join, "split_words", counted)
+    asked = pa.Table.from_batches(jaccard_join._scan_members(SIZE, Sent(bitmap.tobytes()))(iter([made])))
+    assert sum(split) == 3
+    every = pa.Table.from_batches(jaccard_join._scan_members(SIZE, everything())(iter([made])))
+    assert asked.to_pylist() == [every.to_pylist()[row] for row in (2, 5)]
+
+
+def test_many_hashes_meet_the_filter_as_single_ones_do():
+    rng = np.random.default_rng(4)
+    bitmap = rng.integers(-(2**63), 2**63 - 1, linking.FILTER_BITS // 64)
+    nodes = rng.integers(-(2**63), 2**63 - 1, 500)
+    assert linking.may_contain_each(bitmap, nodes).tolist() == [linking.may_contain(bitmap, int(n)) for n in nodes]
+
+
+def test_links_between_sets_that_several_texts_have(spark):
+    rng = random.Random(5)
+    rows = []
+    for group in range(6):
+        own = [f"g{group}w{rng.randrange(10**6)}" for _ in range(60)]
+        near = [*own[:-2], f"n{group}", f"m{group}"]
+        for words in (own, near):
+            rows += [" ".join(words), "\t".join(words).upper(), " ".join(words), f" {'  '.join(words)}\n"]
+    rows += [None, "", None, "g0w1"]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    found = {row.doc_id: row.component_id for row in jaccard_join.jaccard_components(df).collect()}
+    least: dict[str, int] = {}
+    for i, text in enumerate(rows):
+        least.setdefault((text or "").split()[0].lower() if text and len(text) > 9 else f"alone {i}", i)
+    assert found == {
+        i: least[text.split()[0].lower()] if text and len(text) > 9 else i for i, text in enumerate(rows)
+    }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
-from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain_each, sketch_columns, sketches
+from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain_each, node_filter, sketch_columns, sketches
 from turnmill.llm.words import (
     SPACED,
     pack_set,
@@ -120,9 +120,9 @@ def _shared_tokens(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan_documents(size: int) -> Callable:
-    """(doc_id, n, node, sketch) of each row, and (token, count) of shingles that several of the rows read
+    """(doc_id, n, node, key, sketch) of each row, and (token, count) of shingles that several of the rows read
     together share: few rows, but each frequent shingle is among them."""
-    names = ["doc_id", "n", "node", *sketch_columns(SKETCH), "token", "count"]
+    names = ["doc_id", "n", "node", "key", *sketch_columns(SKETCH), "token", "count"]
 
     def scan(batches):
         parts, held, id_type = [], 0, None
@@ -134,7 +134,7 @@ def _scan_documents(size: int) -> Callable:
                 [
                     pa.nulls(none, id_type),
                     pa.nulls(none, pa.int32()),
-                    *[pa.nulls(none, pa.int64()) for _ in range(1 + SKETCH)],
+                    *[pa.nulls(none, pa.int64()) for _ in range(2 + SKETCH)],
                     pa.array(tokens.astype(np.int64)),
                     pa.array(counts.astype(np.int64)),
                 ],
@@ -155,6 +155,7 @@ def _scan_documents(size: int) -> Callable:
                         batch.column("doc_id").slice(sets.rows.start, rows),
                         pa.array(sizes.astype(np.int32)),
                         pa.array(node, mask=sizes == 0),
+                        batch.column("key").slice(sets.rows.start, rows),
                         *[pa.array(bits[:, i]) for i in range(SKETCH)],
                         pa.nulls(rows, pa.int64()),
                         pa.nulls(rows, pa.int64()),
@@ -217,16 +218,16 @@ def _scan_entries(size: int, order) -> Callable:
 
 
 def _scan_members(size: int, asked) -> Callable:
-    """SETS rows for the nodes that may be in the filter."""
+    """SETS rows for the texts whose keys may be in the filter; of other texts no set is made."""
 
     def scan(batches):
         bitmap = np.frombuffer(asked.value, np.int64)
         for batch in batches:
             seen: set[int] = set()
-            for sets in text_sets(batch.column("text"), size):
+            wanted = may_contain_each(bitmap, batch.column("key").to_numpy())
+            texts = batch.column("text").filter(pa.array(wanted))
+            for sets in text_sets(texts, size):
                 rows, nodes = _new_sets(sets, seen)
-                asked_for = may_contain_each(bitmap, nodes)
-                rows, nodes = rows[asked_for], nodes[asked_for]
                 first, end = sets.bounds[rows], sets.bounds[rows + 1]
                 packed = [pack_set(sets.shingles[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -252,21 +253,25 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     different ones are taken for the same once in about 10^12 shingle pairs.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", "text")
+    # A text's key tells a later scan, before it makes the text's set, whether the set may be asked for.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     scanned = store(
         texts.mapInArrow(
             _scan_documents(shingle),
-            f"doc_id {id_type}, n int, node long, "
+            f"doc_id {id_type}, n int, node long, key long, "
             f"{', '.join(f'{c} long' for c in sketch_columns(SKETCH))}, token long, count long",
         )
     )
     order = spark.sparkContext.broadcast(frequent_shingles(scanned.where("token IS NOT NULL").select("token", "count")))
     entries = texts.select("text").mapInArrow(_scan_entries(shingle, order), ENTRY)
 
-    def members(asked: bytes) -> DataFrame:
-        sent = spark.sparkContext.broadcast(asked)
-        return texts.select("text").mapInArrow(_scan_members(shingle, sent), SETS)
+    def members(nodes: DataFrame) -> DataFrame:
+        # One text of each set is enough.
+        own = scanned.where("node IS NOT NULL").join(nodes, "node", "left_semi")
+        keys = own.groupBy("node").agg(F.min("key").alias("key"))
+        sent = spark.sparkContext.broadcast(node_filter(keys.select(F.col("key").alias("node"))))
+        return texts.select("text", "key").mapInArrow(_scan_members(shingle, sent), SETS)
 
     sketched = scanned.where("node IS NOT NULL").select("node", *sketch_columns(SKETCH))
     labels = link_sets(entries, members, sketched)

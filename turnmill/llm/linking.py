@@ -53,7 +53,7 @@ NARROW = 4
 # Sets sketched at a time.
 SKETCHED = 1 << 10
 
-Members = Callable[[bytes], DataFrame]
+Members = Callable[[DataFrame], DataFrame]
 
 
 def sketch_columns(words: int) -> list[str]:
@@ -84,8 +84,8 @@ def _narrow(sketched: DataFrame) -> DataFrame:
 
 def link_sets(entries: DataFrame, members: Members, sketched: DataFrame, bound_blocks: bool = False) -> DataFrame:
     """(node, label) of every set that is linked with another: label is the least node
-    reachable by links. `members(filter)` gives SETS rows for all nodes that
-    `may_contain(filter, node)`, and maybe more; a node may come up repeatedly.
+    reachable by links. `members(nodes)` gives SETS rows for all nodes of a stored table
+    (node), and maybe more; a node may come up repeatedly.
     `sketched` has each node with its sketch in all other columns, repeatedly maybe. The
     links are the same with and without `bound_blocks`.
     """
@@ -305,7 +305,7 @@ def _asked_sets(pairs: DataFrame, members: Members) -> DataFrame:
     """(node, members) of the sets of stored pairs, each once. Only these are asked for."""
     nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
     nodes = store(nodes.withColumnRenamed("a", "node"))
-    asked = members(node_filter(nodes)).join(nodes, "node", "left_semi")
+    asked = members(nodes).join(nodes, "node", "left_semi")
     return asked.groupBy("node").agg(F.first("members").alias("members"))
 
 
@@ -323,7 +323,7 @@ def filter_bit(node: Column) -> Column:
 
 
 def node_filter(nodes: DataFrame) -> bytes:
-    """A bitmap of FILTER_BITS that has a bit for each node. At most FILTER_BITS / 64 numbers
+    """A bitmap of FILTER_BITS that has a bit for each node, or for other 64-bit hashes under this name. At most FILTER_BITS / 64 numbers
     come to the driver, however many nodes there are; when it is full, it lets all pass."""
     bit = filter_bit(F.col("node"))
     words = (

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.checkpoints import store
-from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain, sketch_columns, sketches
+from turnmill.llm.linking import ENTRY, SETS, link_sets, may_contain, node_filter, sketch_columns, sketches
 from turnmill.llm.words import (
     SPACED,
     Words,
@@ -318,8 +318,8 @@ def repeated_paragraphs(
     lines = found.where("node IS NOT NULL").drop("span")
     entries = texts.mapInArrow(_scan_bands(shingle, least, bands, rows), ENTRY)
 
-    def members(asked: bytes) -> DataFrame:
-        sent = spark.sparkContext.broadcast(asked)
+    def members(nodes: DataFrame) -> DataFrame:
+        sent = spark.sparkContext.broadcast(node_filter(nodes))
         return texts.mapInArrow(_scan_members(shingle, least, sent), SETS)
 
     labels = link_sets(entries, members, lines.select("node", *bits), bound_blocks=True)
