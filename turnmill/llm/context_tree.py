@@ -18,11 +18,13 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,12 @@ MAX_CODES = 1 << 21
 COUNTED = 400_000
 # The same for its counts of codes.
 COUNTED_CODES = 1 << 21
+# So many codes wait to be counted together: 16 MB.
+WAITING = 1 << 21
+# About so much text is made codes at a time, and so many codes get their place in a table or are handed on at a time: a
+# worker holds little more than its tables and the batch it was sent.
+CHUNK_BYTES = 250_000
+PART = 1 << 16
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -84,36 +92,56 @@ def _unscored(starts: np.ndarray) -> np.ndarray:
 
 
 class CodeCounts:
-    """Counts of codes, merged now and then."""
+    """Counts of codes. Codes wait in a buffer and are counted when it is full."""
 
     def __init__(self):
+        self.waiting = np.empty(WAITING, np.int64)
+        self.filled = 0
+        # Different codes, sorted, and their counts.
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def add(self, codes: np.ndarray) -> None:
-        self.parts.append(np.unique(codes, return_counts=True))
-        self.size += len(self.parts[-1][0])
-        if self.size > 2 * COUNTED_CODES:
-            self._merge()
-
-    def _merge(self) -> None:
-        codes = np.concatenate([np.zeros(0, np.int64), *[part[0] for part in self.parts]])
-        counts = np.concatenate([np.zeros(0, np.int64), *[part[1] for part in self.parts]])
-        order = np.argsort(codes)
-        codes, counts = codes[order], counts[order]
-        first = np.flatnonzero(np.diff(codes, prepend=-1))
-        self.parts = [(codes[first], np.add.reduceat(counts, first) if len(first) else counts)]
-        self.size = len(first)
+        while len(codes):
+            room = len(self.waiting) - self.filled
+            own, codes = codes[:room], codes[room:]
+            self.waiting[self.filled : self.filled + len(own)] = own
+            self.filled += len(own)
+            if self.filled == len(self.waiting):
+                self._count()
+
+    def _count(self) -> None:
+        codes = self.waiting[: self.filled]
+        codes.sort()
+        first = np.flatnonzero(codes[1:] != codes[:-1]) + 1
+        first = np.concatenate([np.zeros(min(1, self.filled), np.int64), first])
+        self.parts.append((codes[first], np.diff(first, append=self.filled)))
+        self.size += len(first)
+        self.filled = 0
 
     def taken(self) -> Iterator[pa.RecordBatch]:
-        """All counts as COUNTS rows; none are left."""
-        self._merge()
-        codes, counts = self.parts[0]
-        self.parts, self.size = [], 0
-        for at in range(0, len(codes), 1 << 16):
-            own = slice(at, at + (1 << 16))
-            names = pa.nulls(len(codes[own]), pa.string())
-            yield pa.RecordBatch.from_arrays([names, pa.array(codes[own]), pa.array(counts[own])], ["token", "code", "n"])
+        """All counts as COUNTS rows; none are left. Parts are merged a range of codes at a time."""
+        self._count()
+        parts, self.parts, self.size = self.parts, [], 0
+        longest = max((codes for codes, _ in parts), key=len)
+        step = max(1, PART // len(parts))
+        starts = [0] * len(parts)
+        for end in [*longest[step::step].tolist(), None]:
+            stops = [len(codes) if end is None else int(np.searchsorted(codes, end)) for codes, _ in parts]
+            spans = list(zip(parts, starts, stops, strict=True))
+            starts = stops
+            codes = np.concatenate([codes[a:b] for (codes, _), a, b in spans])
+            counts = np.concatenate([counts[a:b] for (_, counts), a, b in spans])
+            if not len(codes):
+                continue
+            order = np.argsort(codes)
+            codes, counts = codes[order], counts[order]
+            first = np.flatnonzero(np.diff(codes, prepend=-1))
+            codes, counts = codes[first], np.add.reduceat(counts, first)
+            for at in range(0, len(codes), PART):
+                own = slice(at, at + PART)
+                names = pa.nulls(len(codes[own]), pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(codes[own]), pa.array(counts[own])], ["token", "code", "n"])
 
 
 COUNTS = "token string, code long, n long"
@@ -121,24 +149,26 @@ COUNTS = "token string, code long, n long"
 
 def _count_training() -> Callable:
     def counted(tokens: Counter):
-        names = pa.array(list(tokens.keys()), pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [names, pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens.values()), pa.int64())],
-            ["token", "code", "n"],
-        )
+        items = iter(tokens.items())
+        while part := list(islice(items, PART)):
+            names, counts = zip(*part, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.nulls(len(part), pa.int64()), pa.array(counts, pa.int64())],
+                ["token", "code", "n"],
+            )
 
     def scan(batches):
         tokens, counts = Counter(), CodeCounts()
         for batch in batches:
             column = batch.column("text")
-            for text in column.to_pylist():
-                if text:
-                    tokens.update(WORD.findall(text.translate(LOWER) if not text.isascii() else text.lower()))
-                if len(tokens) > COUNTED:
-                    yield from counted(tokens)
-                    tokens = Counter()
             data, offsets = string_buffers(column)
-            for rows in row_chunks(offsets):
+            for rows in row_chunks(offsets, CHUNK_BYTES):
+                for text in column.slice(rows.start, len(rows)).to_pylist():
+                    if text:
+                        tokens.update(WORD.findall(text.translate(LOWER) if not text.isascii() else text.lower()))
+                    if len(tokens) > COUNTED:
+                        yield from counted(tokens)
+                        tokens = Counter()
                 stream, starts = _stream(data, offsets, rows)
                 counts.add(np.delete(_codes(stream), _unscored(starts)))
                 if counts.size > COUNTED_CODES:
@@ -323,19 +353,21 @@ def asked_scores(codes: DataFrame, asked: DataFrame, top) -> DataFrame:
 
 
 class CodeTable:
-    """Scores by code: open addressing, for very many look-ups at a time."""
+    """Scores by code: open addressing, for very many look-ups at a time. A slot has a place in the arrays given, which
+    are not copied, or -1."""
 
     def __init__(self, codes: np.ndarray, scores: np.ndarray):
         self.bits = max(4, int(2 * len(codes)).bit_length())
-        self.codes = np.full(1 << self.bits, -1, np.int64)
-        self.scores = np.zeros(1 << self.bits, np.float32)
-        slots, waiting = self._slots(codes), np.arange(len(codes))
-        while len(waiting):
-            free = waiting[self.codes[slots[waiting]] < 0]
-            self.codes[slots[free]] = codes[free]
-            waiting = waiting[self.codes[slots[waiting]] != codes[waiting]]
-            slots[waiting] = (slots[waiting] + 1) & ((1 << self.bits) - 1)
-        self.scores[slots] = scores
+        self.codes, self.scores = codes, scores
+        self.places = np.full(1 << self.bits, -1, np.int32)
+        for start in range(0, len(codes), PART):
+            waiting = np.arange(start, min(start + PART, len(codes)))
+            slots = self._slots(codes[waiting])
+            while len(waiting):
+                free = self.places[slots] < 0
+                self.places[slots[free]] = waiting[free]
+                left = self.places[slots] != waiting
+                waiting, slots = waiting[left], (slots[left] + 1) & ((1 << self.bits) - 1)
 
     def _slots(self, codes: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -344,20 +376,23 @@ class CodeTable:
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The scores of codes, 0 where the table has none, and which these are."""
+        if not len(self.codes):
+            return np.zeros(len(codes)), np.arange(len(codes))
         slots = self._slots(codes)
-        there = self.codes[slots]
-        scores = self.scores[slots].astype(float)
-        missed, waiting = [], np.flatnonzero(there != codes)
-        there = there[waiting]
+        places = self.places[slots]
+        scores = self.scores[places].astype(float)
+        # A place of -1 reads the last entry; a code that meets it there is another, or it would have been met before.
+        missed, waiting = [], np.flatnonzero(self.codes[places] != codes)
+        places = places[waiting]
+        scores[waiting] = 0.0
         while len(waiting):
-            scores[waiting] = 0.0
-            missed.append(waiting[there < 0])
-            waiting = waiting[there >= 0]
+            missed.append(waiting[places < 0])
+            waiting = waiting[places >= 0]
             slots[waiting] = (slots[waiting] + 1) & ((1 << self.bits) - 1)
-            there = self.codes[slots[waiting]]
-            hit = there == codes[waiting]
-            scores[waiting[hit]] = self.scores[slots[waiting[hit]]]
-            waiting, there = waiting[~hit], there[~hit]
+            places = self.places[slots[waiting]]
+            hit = self.codes[places] == codes[waiting]
+            scores[waiting[hit]] = self.scores[places[hit]]
+            waiting, places = waiting[~hit], places[~hit]
         return scores, np.concatenate([np.zeros(0, np.int64), *missed])
 
 
@@ -416,8 +451,11 @@ def _score(frequent, known_codes) -> Callable:
         from pyspark import TaskContext
 
         words, values = frequent.value
-        known = dict(zip(words.split("\n") if words else [], values.tolist(), strict=True))
+        # Tokens with the same count share their value.
+        values, place = np.unique(values, return_inverse=True)
+        known = dict(zip(words.split("\n") if words else [], map(values.tolist().__getitem__, place), strict=True))
         get, table = known.get, CodeTable(*known_codes.value)
+        del words, place
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             kind = batch.column("doc_id").type
@@ -428,51 +466,55 @@ def _score(frequent, known_codes) -> Callable:
                 return pa.RecordBatch.from_arrays([pa.nulls(size, kind), rows, *none, tokens, codes, counts], names)
 
             column = batch.column("text")
-            size = len(column)
-            n_tokens, n_known, base = np.ones(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
-            missed_rows, missed_tokens, missed_counts = [], [], []
-            for i, text in enumerate(column.to_pylist()):
-                if not text:
-                    continue
-                own = WORD.findall(text.translate(LOWER) if not text.isascii() else text.lower())
-                found = list(map(get, own))
-                n_tokens[i] += len(own)
-                missed = Counter(word for word, value in zip(own, found, strict=True) if value is None)
-                base[i] = math.fsum(value for value in found if value is not None)
-                n_known[i] = len(own) - sum(missed.values())
-                missed_rows += [row + i] * len(missed)
-                missed_tokens += missed.keys()
-                missed_counts += missed.values()
-            scores = np.zeros(size)
             data, offsets = string_buffers(column)
-            for rows in row_chunks(offsets):
+            for rows in row_chunks(offsets, CHUNK_BYTES):
+                size, first_row = len(rows), row + rows.start
+                n_tokens, n_known, base = np.ones(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
+                missed_rows, missed_tokens, missed_counts = [], [], []
+                for i, text in enumerate(column.slice(rows.start, size).to_pylist()):
+                    if not text:
+                        continue
+                    own = WORD.findall(text.translate(LOWER) if not text.isascii() else text.lower())
+                    found = list(map(get, own))
+                    n_tokens[i] += len(own)
+                    missed = Counter(word for word, value in zip(own, found, strict=True) if value is None)
+                    base[i] = math.fsum(value for value in found if value is not None)
+                    n_known[i] = len(own) - sum(missed.values())
+                    missed_rows += [first_row + i] * len(missed)
+                    missed_tokens += missed.keys()
+                    missed_counts += missed.values()
                 stream, starts = _stream(data, offsets, rows)
                 codes = _codes(stream)
                 gained, lacking = table.find(codes)
                 unscored = _unscored(starts)
                 gained[unscored] = 0.0
                 first = starts[:-1] - DEPTH
-                scores[rows.start : rows.stop] = np.add.reduceat(gained, first)
+                scores = np.add.reduceat(gained, first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(rows.start, size), pa.array(np.arange(first_row, first_row + size)),
+                     batch.column("held_out").slice(rows.start, size),
+                     pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(scores),
+                     pa.array(np.diff(offsets[rows.start : rows.stop + 1])),
+                     *[pa.nulls(size, t) for t in (pa.string(), pa.int64(), pa.int64())]],
+                    names,
+                )
                 lacking = np.setdiff1d(lacking, unscored)
-                owners = row + rows.start + np.searchsorted(first, lacking, "right") - 1
-                for at in range(0, len(lacking), 1 << 16):
-                    part = slice(at, at + (1 << 16))
+                owners = first_row + np.searchsorted(first, lacking, "right") - 1
+                for at in range(0, len(lacking), PART):
+                    part = slice(at, at + PART)
                     asked = codes[lacking[part]]
                     yield missing(
                         pa.array(owners[part]), pa.nulls(len(asked), pa.string()), pa.array(asked),
                         pa.array(np.ones(len(asked), np.int64)),
                     )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.arange(row, row + size)), batch.column("held_out"),
-                 pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(scores),
-                 pa.array(np.diff(offsets)), *[pa.nulls(size, t) for t in (pa.string(), pa.int64(), pa.int64())]],
-                names,
-            )
-            yield missing(
-                pa.array(missed_rows, pa.int64()), pa.array(missed_tokens, pa.string()),
-                pa.nulls(len(missed_rows), pa.int64()), pa.array(missed_counts, pa.int64()),
-            )
-            row += size
+                for at in range(0, len(missed_rows), PART):
+                    part = slice(at, at + PART)
+                    tokens = pa.array(missed_tokens[part], pa.string())
+                    yield missing(
+                        pa.array(missed_rows[part], pa.int64()), tokens,
+                        pa.nulls(len(tokens), pa.int64()), pa.array(missed_counts[part], pa.int64()),
+                    )
+            row += len(column)
 
     return scan
 
@@ -490,6 +532,14 @@ def _frequent(tokens: DataFrame, limit: int) -> tuple[DataFrame, int]:
     return tokens.where(steps >= least) if least is not None else tokens.where("false"), least
 
 
+def packed_tokens(tokens: DataFrame) -> tuple[str, np.ndarray]:
+    """The tokens, joined by line ends, and their counts. On the driver they are never objects of their own."""
+    rows = tokens.select("token", "n").toArrow().combine_chunks()
+    names = pa.concat_arrays([pa.array([], rows["token"].type), *rows["token"].chunks])
+    words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), "\n")
+    return words[0].as_py(), rows["n"].to_numpy()
+
+
 def score_texts(
     docs: DataFrame, held_out: Column | None = None, max_frequent: int = MAX_FREQUENT, max_codes: int = MAX_CODES
 ) -> DataFrame:
@@ -521,9 +571,9 @@ def score_texts(
     unit = math.log10(total + different + 1)
 
     table, least = _frequent(tokens, max_frequent)
-    rows = table.toPandas()
-    words = "\n".join(rows["token"])
-    sent = spark.sparkContext.broadcast((words, np.log10(rows["n"].to_numpy(float) + 1) - unit))
+    words, times = packed_tokens(table)
+    sent = spark.sparkContext.broadcast((words, np.log10(times + 1.0) - unit))
+    del words, times
 
     codes = counts.where("code IS NOT NULL").select("code", "n")
     top = spark.sparkContext.broadcast(fit_top(codes))
