@@ -143,3 +143,14 @@ def test_links_between_sets_that_several_texts_have(spark):
     assert found == {
         i: least[text.split()[0].lower()] if text and len(text) > 9 else i for i, text in enumerate(rows)
     }
+
+
+def test_shared_shingles_are_handed_on_a_few_at_a_time():
+    """What two copies of very long texts share comes in small batches: each row has room for all columns."""
+    texts = [" ".join(f"w{i}" for i in range(150_000))] * 2
+    scanned = jaccard_join._scan_documents(SIZE)(iter([batch(texts)]))
+    found = [(b.nbytes, b["token"].to_pylist(), b["count"].to_pylist()) for b in scanned]
+    assert max(size for size, _, _ in found) < 2_000_000
+    tokens = [t for _, own, _ in found for t in own if t is not None]
+    assert len(set(tokens)) == len(tokens) == 150_000 - SIZE + 1
+    assert {n for _, _, own in found for n in own if n is not None} == {2}

@@ -25,6 +25,8 @@ SHINGLE = 5
 # holds no more than these beside the batch it was sent, however long the texts of a batch are, one text apart.
 CHUNK_BYTES = 250_000
 COUNTED = 1 << 22
+# So many of them are looked through at a time, so that what they share is handed on in small batches.
+PART = 1 << 14
 # Most shingles in the table of frequent ones that is sent to every executor: 32 MB.
 MAX_FREQUENT = 2_000_000
 # A list with 2^(SHARD_CLASS + i) counted copies is dealt over 2^i shards.
@@ -109,14 +111,20 @@ class Order:
         return sets.shingles[at], classes[at], sizes
 
 
-def _shared_tokens(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are in several of the sets in `parts`, which is emptied, and in how many."""
-    together = np.concatenate([*parts, np.zeros(0, np.uint64)])
-    parts.clear()
+def _shared_tokens(together: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingles that are in several of the sets that lie end to end, which are sorted in place, and in how many: those of
+    about PART members at a time."""
     together.sort()
-    again = np.flatnonzero(together[1:] == together[:-1])
-    first = np.flatnonzero(np.diff(again, prepend=-2) > 1)
-    return together[again[first]], np.diff(first, append=len(again)) + 1
+    start = 0
+    while start < len(together):
+        end = min(start + PART, len(together))
+        end = int(np.searchsorted(together, together[end - 1], "right"))
+        own = together[start:end]
+        start = end
+        again = np.flatnonzero(own[1:] == own[:-1])
+        if len(again):
+            first = np.flatnonzero(np.diff(again, prepend=-2) > 1)
+            yield own[again[first]], np.diff(first, append=len(again)) + 1
 
 
 def _scan_documents(size: int) -> Callable:
@@ -125,21 +133,22 @@ def _scan_documents(size: int) -> Callable:
     names = ["doc_id", "n", "node", "key", *sketch_columns(SKETCH), "token", "count"]
 
     def scan(batches):
-        parts, held, id_type = [], 0, None
+        # With room for one run of rows more.
+        held, size_held, id_type = np.empty(COUNTED + CHUNK_BYTES, np.uint64), 0, None
 
         def shared():
-            tokens, counts = _shared_tokens(parts)
-            none = len(tokens)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(none, id_type),
-                    pa.nulls(none, pa.int32()),
-                    *[pa.nulls(none, pa.int64()) for _ in range(2 + SKETCH)],
-                    pa.array(tokens.astype(np.int64)),
-                    pa.array(counts.astype(np.int64)),
-                ],
-                names,
-            )
+            for tokens, counts in _shared_tokens(held[:size_held]):
+                none = len(tokens)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(none, id_type),
+                        pa.nulls(none, pa.int32()),
+                        *[pa.nulls(none, pa.int64()) for _ in range(2 + SKETCH)],
+                        pa.array(tokens.astype(np.int64)),
+                        pa.array(counts.astype(np.int64)),
+                    ],
+                    names,
+                )
 
         for batch in batches:
             id_type = batch.column("doc_id").type
@@ -162,13 +171,15 @@ def _scan_documents(size: int) -> Callable:
                     ],
                     names,
                 )
-                parts.append(sets.shingles)
-                held += len(sets.shingles)
-                if held >= COUNTED:
-                    yield shared()
-                    held = 0
-        if held:
-            yield shared()
+                end = size_held + len(sets.shingles)
+                if end > len(held):
+                    held = np.concatenate([held[:size_held], np.empty(end - size_held, np.uint64)])
+                held[size_held:end] = sets.shingles
+                size_held = end
+                if size_held >= COUNTED:
+                    yield from shared()
+                    size_held = 0
+        yield from shared()
 
     return scan
 
